@@ -21,6 +21,24 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(read_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import scan_secrets
+
+    return scan_secrets(read_table(spark, sf_dir, "documents"))
+
+
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract_pages
+
+    return extract_pages(read_table(spark, sf_dir, "pages"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import warc_round_trip
+
+    return warc_round_trip(read_table(spark, sf_dir, "pages")).drop("url")
+
+
 def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .trie_bpe import trie_bpe
 
@@ -29,7 +47,23 @@ def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_secret_scan": op2_secret_scan,
+    "op3_html_extract": op3_html_extract,
+    "op6_warc": op6_warc,
     "op9_trie_bpe": op9_trie_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), d AS (
+            SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM p
+        ), f AS (
+            SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest
+        )
+        SELECT d.page_id, d.payload_bytes, d.payload_digest,
+               CASE WHEN first_id < d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id < d.page_id THEN first_id END AS refers_to
+        FROM d LEFT JOIN f ON d.payload_digest = f.payload_digest""",
+}
