@@ -39,6 +39,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(read_table(spark, sf_dir, "pages")).drop("url")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_toxicity
+
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .trie_bpe import trie_bpe
 
@@ -50,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_html_extract": op3_html_extract,
     "op6_warc": op6_warc,
+    "op8_toxicity": op8_toxicity,
     "op9_trie_bpe": op9_trie_bpe,
 }
 
