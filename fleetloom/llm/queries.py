@@ -39,6 +39,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(read_table(spark, sf_dir, "pages")).drop("url")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import jaccard_components
+
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import score_toxicity
 
@@ -56,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_html_extract": op3_html_extract,
     "op6_warc": op6_warc,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_toxicity": op8_toxicity,
     "op9_trie_bpe": op9_trie_bpe,
 }
