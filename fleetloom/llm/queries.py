@@ -33,6 +33,12 @@ def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op5_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embed_dedup import embedding_components
+
+    return embedding_components(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import warc_round_trip
 
@@ -57,14 +63,22 @@ def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe(read_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mixing_rates
+
+    return mixing_rates(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_secret_scan": op2_secret_scan,
     "op3_html_extract": op3_html_extract,
+    "op5_embed_dedup": op5_embed_dedup,
     "op6_warc": op6_warc,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_toxicity": op8_toxicity,
     "op9_trie_bpe": op9_trie_bpe,
+    "op10_mixing": op10_mixing,
 }
 
 SQL: dict[str, str] = {
