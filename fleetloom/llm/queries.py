@@ -33,6 +33,12 @@ def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .imatch import edited_fingerprints
+
+    return edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op5_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .embed_dedup import embedding_components
 
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_secret_scan": op2_secret_scan,
     "op3_html_extract": op3_html_extract,
+    "op4_imatch": op4_imatch,
     "op5_embed_dedup": op5_embed_dedup,
     "op6_warc": op6_warc,
     "op7_jaccard_join": op7_jaccard_join,
