@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import os
 import re
 import uuid
 import zlib
@@ -29,12 +30,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fresh_path, ship, shuffle_partitions
-from .wordclass import LETTERS, NUMBERS, SPACE, UNUSUAL
+from .wordclass import LETTERS, NUMBERS, SPACE, UNUSUAL, byte_symbols
 
 END_ID = 2
 NULL_ID = np.iinfo(np.int64).min
-#: Distinct pieces that a worker remembers at most.
-MAX_PIECES = 250_000
+#: Distinct pieces that a worker remembers at most. A full memory is kept while it serves most pieces, else begun anew.
+MAX_PIECES, STALE = 600_000, 0.5
+#: Pieces that go to the library at once.
+BATCH = 4_000
 
 # The pattern of the byte-level pre-tokenizer, with its classes written out for the code points below U+0250.
 _PIECES = re.compile(
@@ -46,6 +49,7 @@ class PieceEncoder:
     """Encodes whole texts with the tokenizers library, each distinct piece of the pre-tokenizer only once."""
 
     def __init__(self, path: str, end_id: int = END_ID):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -58,29 +62,64 @@ class PieceEncoder:
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.dtype = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
+        self.begins = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        blank = byte_symbols()[32]
+        for token, i in self.tokenizer.get_vocab().items():
+            self.begins[i] = token[0] == blank
         self.known: dict[str, bytes] = {}
 
     def _plain(self, text: str) -> bool:
         return self.by_piece and not UNUSUAL.search(text) and not (self.added and self.added.search(text))
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        pack, kind = np.array, self.dtype
+        return [pack(e.ids, kind).tobytes() for at in range(0, len(texts), BATCH) for e in self.tokenizer.encode_batch_fast(texts[at : at + BATCH], add_special_tokens=False)]
+
+    def _spaced(self, pieces: list[str]) -> dict[str, bytes]:
+        """The packed ids of pieces that begin with a space: the library gets many in a row, and such ids show where each begins."""
+        done: dict[str, bytes] = {}
+        size = self.dtype.itemsize
+        for at in range(0, len(pieces), BATCH):
+            own = pieces[at : at + BATCH]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(own)], add_special_tokens=False)[0].ids, self.dtype)
+            starts = np.flatnonzero(self.begins[ids])
+            if len(starts) == len(own):
+                packed, cuts = ids.tobytes(), [*(starts * size).tolist(), len(ids) * size]
+                done.update(zip(own, [packed[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
+        return done
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text, the end id last."""
-        if len(self.known) > MAX_PIECES:
-            self.known.clear()
         known, split = self.known, [_PIECES.findall(t) if self._plain(t) else None for t in texts]
-        fresh = list(set().union(*(p for p in split if p is not None)) - known.keys())
-        known.update(zip(fresh, self._library(fresh), strict=True))
+        pieces = set().union(*(p for p in split if p is not None))
+        fresh = pieces - known.keys()
+        full = len(known) + len(fresh) > MAX_PIECES
+        if full and len(fresh) > STALE * len(pieces):
+            known.clear()
+            fresh, full = pieces, False
+        spaced = [p for p in fresh if p[0] == " " and len(p) > 1 and p[1] != " "]
+        known.update(self._spaced(spaced))
+        rest = [p for p in fresh if p not in known]
+        known.update(zip(rest, self._library(rest), strict=True))
         other = iter(self._library([t for t, p in zip(texts, split, strict=True) if p is None]))
-        return [(b"".join(map(known.__getitem__, p)) if p is not None else next(other)) + self.end for p in split]
+        out = [(b"".join(map(known.__getitem__, p)) if p is not None else next(other)) + self.end for p in split]
+        if full:
+            for p in fresh:
+                del known[p]
+        return out
 
 
 _ENCODERS: dict[tuple, PieceEncoder] = {}
 
 
-def _slices(texts: list[str], most: int = 1_000_000) -> Iterator[slice]:
+def encoder_of(path: str, end_id: int) -> PieceEncoder:
+    """This process's encoder. Tasks call this by name: what they close over would be a copy for each task."""
+    if (path, end_id) not in _ENCODERS:
+        _ENCODERS[path, end_id] = PieceEncoder(path, end_id)
+    return _ENCODERS[path, end_id]
+
+
+def _slices(texts: list[str], most: int = 4_000_000) -> Iterator[slice]:
     """Runs of texts of about so many characters, one text at least."""
     start = size = 0
     for i, t in enumerate(texts):
@@ -102,7 +141,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str | None
     out_dir = out_dir or fresh_path(spark, "tokens")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.get((tokenizer_path, end_id)) or _ENCODERS.setdefault((tokenizer_path, end_id), PieceEncoder(tokenizer_path, end_id))
+        encoder = encoder_of(tokenizer_path, end_id)
         batches = (b for b in batches if b.num_rows)
         if (first := next(batches, None)) is None:
             return
