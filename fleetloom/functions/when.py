@@ -41,7 +41,7 @@ def snapped_hour(ms: Column, zone: str = "UTC") -> Column:
 
 def human(seconds: Column) -> Column:
     """A length of time in its largest fitting unit."""
-    unit = lambda n, name: F.concat(F.format_string("%.1f", seconds / n), F.lit(f" {name}"))
+    unit = lambda n, name: F.concat(F.format_string("%.1f", F.round(seconds / n, 1)), F.lit(f" {name}"))
     return F.when(seconds >= 86400, unit(86400, "days")).when(seconds >= 3600, unit(3600, "hours")).when(seconds >= 60, unit(60, "minutes")).otherwise(unit(1, "seconds"))
 
 
