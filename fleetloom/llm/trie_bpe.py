@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import ship
 from .wordclass import LETTERS, NUMBERS, SPACE, UNUSUAL, byte_symbols
 
-#: Distinct words that a worker remembers at most, and pairs of tokens.
-MAX_WORDS, MAX_PAIRS = 250_000, 1_000_000
+#: Distinct words that a worker remembers at most. A full memory is kept while it serves most words, else begun anew. Pairs of tokens.
+MAX_WORDS, STALE, MAX_PAIRS = 400_000, 0.5, 1_000_000
 
 # The vocabulary's own word pattern, with its classes written out for the code points below U+0250.
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{SPACE}{LETTERS}{NUMBERS}]+")
@@ -155,29 +155,43 @@ class TrieBpe:
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(packed 32-bit ids, decoded text in UTF-8) of each text."""
-        if len(self.ids) > MAX_WORDS:
-            self.ids.clear()
-            self.texts.clear()
         usual = [not UNUSUAL.search(t) and not (self.added_re and self.added_re.search(t)) for t in texts]
         split = [_WORDS.findall(t.lower()) if u else None for t, u in zip(texts, usual, strict=True)]
-        self._learn(set().union(*(p for p in split if p is not None)) - self.ids.keys(), raw=True)
+        words = set().union(*(p for p in split if p is not None))
+        fresh = words - self.ids.keys()
+        full = len(self.ids) + len(fresh) > MAX_WORDS
+        if full and len(fresh) > STALE * len(words):
+            self.ids.clear()
+            self.texts.clear()
+            fresh, full = words, False
+        self._learn(fresh, raw=True)
         ids, decoded, out = self.ids, self.texts, []
         for t, p in zip(texts, split, strict=True):
             keys = self._unusual(t) if p is None else p
             out.append((b"".join(map(ids.__getitem__, keys)), b" ".join(map(decoded.__getitem__, keys))))
+        if full:
+            for w in fresh:
+                del ids[w], decoded[w]
         return out
 
 
 _ENCODERS: dict[str, TrieBpe] = {}
 
 
+def encoder_of(path: str) -> TrieBpe:
+    """This process's encoder. Tasks call this by name: what they close over would be a copy for each task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = TrieBpe(path)
+    return _ENCODERS[path]
+
+
 def trie_bpe(docs: DataFrame, vocabulary_path: str, with_text: bool = False) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids and decoded."""
     ship(docs.sparkSession)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>, decoded string" * with_text
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = _ENCODERS.get(vocabulary_path) or _ENCODERS.setdefault(vocabulary_path, TrieBpe(vocabulary_path))
+        coder = encoder_of(vocabulary_path)
         for f in frames:
             texts, start = f["text"].tolist(), 0
             while start < len(texts):
