@@ -12,16 +12,28 @@ from . import fit, spatial, stats
 
 c = F.col
 HALF = math.pi / 2
-_p, _q, _at = (c("x1"), c("y1")), (c("x2"), c("y2")), (c("x"), c("y"))
+
+
+def _p() -> geom.Point:
+    return c("x1"), c("y1")
+
+
+def _q() -> geom.Point:
+    return c("x2"), c("y2")
+
+
+def _at() -> geom.Point:
+    return c("x"), c("y")
+
 #: Reports near a segment from which on those beside its ends count less; the angle below which a dir tag is trusted.
 MANY, TRUSTED = 50, math.pi / 4
 
 
 def links(reports: DataFrame, segments: DataFrame, reach: float) -> DataFrame:
     """Reports (report_id, x, y, direction, dir_tag) beside segments (path_index, seg_index, x1, y1, x2, y2) within reach of their box."""
-    nx, ny, away, perpendicular = geom.closest(_p, _q, _at)
-    pairs = spatial.range_join(reports, segments, spatial.box_around(*_at, reach, reach), geom.bounds(_p, _q), 2 * reach, F.lit(True))
-    seg_direction = geom.direction(_p, _q)
+    nx, ny, away, perpendicular = geom.closest(_p(), _q(), _at())
+    pairs = spatial.range_join(reports, segments, spatial.box_around(*_at(), reach, reach), geom.bounds(_p(), _q()), 2 * reach, F.lit(True))
+    seg_direction = geom.direction(_p(), _q())
     return pairs.withColumns({"nx": nx, "ny": ny, "distance": away, "perpendicular": perpendicular, "seg_direction": seg_direction, "angle": geom.angle_between(c("direction"), seg_direction)})
 
 
@@ -77,9 +89,9 @@ def rebuild(segments: DataFrame, lines: DataFrame) -> DataFrame:
     fitted = segments.select("path_index", "seg_index", *(c(k).alias(f"s_{k}") for k in ("x1", "y1", "x2", "y2"))).join(lines, ["path_index", "seg_index"])
     w = Window.partitionBy("path_index").orderBy("seg_index")
     f = fitted.select("*", F.row_number().over(w).alias("k"), *(F.lead(k).over(w).alias(f"n_{k}") for k in ("x1", "y1", "x2", "y2")))
-    start = geom.nearest_on_line(_p, _q, (c("s_x1"), c("s_y1")))
-    stop = geom.nearest_on_line(_p, _q, (c("s_x2"), c("s_y2")))
-    meet = geom.intersection(_p, _q, (c("n_x1"), c("n_y1")), (c("n_x2"), c("n_y2")))
+    start = geom.nearest_on_line(_p(), _q(), (c("s_x1"), c("s_y1")))
+    stop = geom.nearest_on_line(_p(), _q(), (c("s_x2"), c("s_y2")))
+    meet = geom.intersection(_p(), _q(), (c("n_x1"), c("n_y1")), (c("n_x2"), c("n_y2")))
     first = F.when(c("k") == 1, F.array(F.struct(F.lit(0).alias("o"), start[0].alias("x"), start[1].alias("y")))).otherwise(F.array().cast("array<struct<o:int,x:double,y:double>>"))
     after = F.when(c("n_x1").isNull(), F.struct(F.lit(2).alias("o"), stop[0].alias("x"), stop[1].alias("y"))).otherwise(F.struct(F.lit(1).alias("o"), meet[0].alias("x"), meet[1].alias("y")))
     points = f.select("path_index", "k", F.explode(F.concat(first, F.array(after))).alias("pt")).filter("pt.x IS NOT NULL")

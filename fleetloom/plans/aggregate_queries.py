@@ -9,7 +9,7 @@ from ..functions import geo
 from ..operators import fit, histogram, refit, spatial, stats
 from .fixtures import over_views, path_segments, table, vehicle_reports
 from .join_queries import _NEAR, report_segments, waypoints
-from .registry import query
+from .core import query
 
 c = F.col
 

@@ -8,14 +8,25 @@ from pyspark.sql import functions as F
 from ..functions import geo, geom
 from ..operators import diff, partition, spatial
 from .fixtures import directions, over_views, path_segments, table, vehicle_reports
-from .registry import query
+from .core import query
 from .scalar_queries import sql_clip
 
 c = F.col
 #: Tolerances of map matching, in degrees of longitude and latitude, and how much a second search widens them.
 DX, DY, WIDEN = 0.00067, 0.00042, 16.0
-_p, _q = (c("lon1"), c("lat1")), (c("lon2"), c("lat2"))
-_at = (c("lon"), c("lat"))
+
+
+def _p() -> geom.Point:
+    return c("lon1"), c("lat1")
+
+
+def _q() -> geom.Point:
+    return c("lon2"), c("lat2")
+
+
+def _at() -> geom.Point:
+    return c("lon"), c("lat")
+
 #: Degrees within which a segment counts as near a report.
 REACH = 0.004
 
@@ -31,9 +42,9 @@ near AS (SELECT *, CASE WHEN a0 > pi() THEN 2 * pi() - a0 ELSE a0 END AS angle,
 def report_segments(spark: SparkSession, d: str) -> DataFrame:
     """Every pair of a report and a segment within REACH, with distance, angle and whether the perpendicular meets the segment."""
     r = vehicle_reports(spark, d).withColumnRenamed("route_tag", "report_route")
-    _, _, away, perpendicular = geom.closest(_p, _q, _at)
-    pairs = spatial.range_join(r, path_segments(spark), spatial.box_around(*_at, REACH, REACH), geom.bounds(_p, _q), 2 * REACH, away <= REACH)
-    angle = geom.angle_between(geo.to_direction(c("heading")), geom.direction(_p, _q))
+    _, _, away, perpendicular = geom.closest(_p(), _q(), _at())
+    pairs = spatial.range_join(r, path_segments(spark), spatial.box_around(*_at(), REACH, REACH), geom.bounds(_p(), _q()), 2 * REACH, away <= REACH)
+    angle = geom.angle_between(geo.to_direction(c("heading")), geom.direction(_p(), _q()))
     return pairs.withColumns({"distance": away, "perpendicular": perpendicular, "angle": angle})
 
 
@@ -49,14 +60,14 @@ _RL, _RH = sql_clip("lon1", "lat1", "lon2", "lat2", "rx0", "rx1", "ry0", "ry1")
 def j01(spark: SparkSession, d: str) -> DataFrame:
     rects = spark.range(24).selectExpr("id AS rect_id", "-712e-1 + (id % 6) * 3e-2 AS rx0", "-712e-1 + (id % 6) * 3e-2 + 4e-2 AS rx1", "4205e-2 + (id DIV 6) * 7e-2 AS ry0", "4205e-2 + (id DIV 6) * 7e-2 + 5e-2 AS ry1")
     box = tuple(c(k) for k in ("rx0", "rx1", "ry0", "ry1"))
-    pairs = spatial.range_join(rects, path_segments(spark), box, geom.bounds(_p, _q), 0.05, geom.clip_interval(_p, _q, box)[2])
+    pairs = spatial.range_join(rects, path_segments(spark), box, geom.bounds(_p(), _q()), 0.05, geom.clip_interval(_p(), _q(), box)[2])
     return pairs.select("rect_id", "path_index", "seg_index")
 
 
 @query("j03_nearest_segment", over_views("SELECT event_id, path_index, seg_index, round(distance, 7) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY distance, path_index, seg_index) AS k FROM near) WHERE k = 1", _NEAR))
 def j03(spark: SparkSession, d: str) -> DataFrame:
     r = vehicle_reports(spark, d).select("event_id", "lon", "lat")
-    best = spatial.nearest_join(r, path_segments(spark), _at, (_p, _q), ["event_id"], ["path_index", "seg_index"], REACH)
+    best = spatial.nearest_join(r, path_segments(spark), _at(), (_p(), _q()), ["event_id"], ["path_index", "seg_index"], REACH)
     return best.select("event_id", "path_index", "seg_index", F.round("distance", 7).alias("distance"))
 
 
@@ -67,8 +78,8 @@ _BOX = "least(lon1, lon2) < lon + {0} AND lon - {0} < greatest(lon1, lon2) AND l
 @query("j05_nearby_paths", over_views(f"SELECT DISTINCT r.event_id, s.path_index FROM vehicle_reports r JOIN path_segments s ON {_BOX.format('67e-5', '42e-5')} AND {_TIGHT[0]} <= {_TIGHT[1]}"))
 def j05(spark: SparkSession, d: str) -> DataFrame:
     r = vehicle_reports(spark, d).select("event_id", "lon", "lat")
-    box = spatial.box_around(*_at, DX, DY)
-    pairs = spatial.range_join(r, path_segments(spark), box, geom.bounds(_p, _q), 0.004, geom.clip_interval(_p, _q, box)[2])
+    box = spatial.box_around(*_at(), DX, DY)
+    pairs = spatial.range_join(r, path_segments(spark), box, geom.bounds(_p(), _q()), 0.004, geom.clip_interval(_p(), _q(), box)[2])
     return pairs.select("event_id", "path_index").distinct()
 
 

@@ -1,30 +1,15 @@
-"""Every query of the library with its oracle. Query modules register themselves when they are imported below."""
+"""Every query of the library with its oracle."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable:
-    """Register a query under name, with its oracle in DuckDB SQL if there is one."""
+from . import aggregate_queries, join_queries, scalar_queries, table_queries  # noqa: F401  they register their queries
+from .core import ORACLES, QUERIES
 
-    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[name] = f
-        if sql is not None:
-            ORACLES[name] = sql
-        return f
-
-    return add
+__all__ = ["ORACLES", "QUERIES", "flagship"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports matched to paths, counted by path and direction."""
     return QUERIES["j07_match_fanout"](spark, sf_dir)
-
-
-from . import aggregate_queries, join_queries, scalar_queries, table_queries  # noqa: E402, F401

@@ -10,14 +10,21 @@ from pyspark.sql import functions as F
 from ..functions import geo, geom, when, xml
 from ..operators import stats
 from .fixtures import over_views, path_segments, table, vehicle_reports
-from .registry import query
+from .core import query
 
 c = F.col
 # The centre of the local coordinates, a test rectangle (x0, x1, y0, y1) and a margin in metres.
 LAT0, LON0 = 42.2, -71.05
 RECT = (-71.2, -71.0, 42.1, 42.3)
-_rect = tuple(F.lit(v) for v in RECT)
-_seg = (c("lon1"), c("lat1")), (c("lon2"), c("lat2"))
+
+
+def _rect() -> geom.Rect:
+    return tuple(F.lit(v) for v in RECT)
+
+
+def _seg() -> tuple[geom.Point, geom.Point]:
+    return (c("lon1"), c("lat1")), (c("lon2"), c("lat2"))
+
 
 
 def _round(**cols) -> list:
@@ -69,7 +76,7 @@ def p02(spark: SparkSession, d: str) -> DataFrame:
 
 @query("p03_in_rect", over_views("SELECT event_id FROM vehicle_reports WHERE lon >= -712e-1 AND lon <= -71e0 AND lat >= 421e-1 AND lat <= 423e-1"))
 def p03(spark: SparkSession, d: str) -> DataFrame:
-    return vehicle_reports(spark, d).filter(geom.inside((c("lon"), c("lat")), _rect)).select("event_id")
+    return vehicle_reports(spark, d).filter(geom.inside((c("lon"), c("lat")), _rect())).select("event_id")
 
 
 @query("p04_rect_half_open", "SELECT event_id, (user_id >= 10 AND user_id < 40 AND event_id % 7 >= 2 AND event_id % 7 < 5) AS in_rect, (user_id = 10 AND event_id % 7 >= 2 AND event_id % 7 < 5) AS in_line FROM events")
@@ -84,12 +91,12 @@ _BOX_SQL = "least(lon1, lon2) AS x0, greatest(lon1, lon2) AS x1, least(lat1, lat
 
 @query("p05_rect_overlap", over_views("SELECT path_index, seg_index, x0 < -71e0 AND -712e-1 < x1 AND y0 < 423e-1 AND 421e-1 < y1 AS overlaps FROM b", f"b AS (SELECT *, {_BOX_SQL} FROM path_segments)"))
 def p05(spark: SparkSession, d: str) -> DataFrame:
-    return path_segments(spark).select("path_index", "seg_index", geom.overlaps_open(geom.bounds(*_seg), _rect).alias("overlaps"))
+    return path_segments(spark).select("path_index", "seg_index", geom.overlaps_open(geom.bounds(*_seg()), _rect()).alias("overlaps"))
 
 
 @query("p06_rect_contains", over_views("SELECT path_index, seg_index, -712e-1 <= x0 AND x1 <= -71e0 AND 421e-1 <= y0 AND y1 <= 423e-1 AS contained FROM b", f"b AS (SELECT *, {_BOX_SQL} FROM path_segments)"))
 def p06(spark: SparkSession, d: str) -> DataFrame:
-    return path_segments(spark).select("path_index", "seg_index", geom.contains(_rect, geom.bounds(*_seg)).alias("contained"))
+    return path_segments(spark).select("path_index", "seg_index", geom.contains(_rect(), geom.bounds(*_seg())).alias("contained"))
 
 
 @query("p07_same_reports", over_views("SELECT event_id, heading = ph AS same_heading, coalesce(abs(unix_ms - pm) <= 3600000, false) AS almost_same_time, route_tag = pr AND dir_tag = pd AND heading = ph AS same_but_time FROM l", "l AS (SELECT *, lag(heading) OVER w AS ph, lag(unix_ms) OVER w AS pm, lag(route_tag) OVER w AS pr, lag(dir_tag) OVER w AS pd FROM vehicle_reports WINDOW w AS (PARTITION BY vehicle_id ORDER BY unix_ms, event_id))"))
@@ -170,7 +177,7 @@ _CAP = f"(2 * pi() * {_RAD} * {_RAD} * (1 - sin(radians({{0}}))))"
     ),
 )
 def g06(spark: SparkSession, d: str) -> DataFrame:
-    x0, x1, y0, y1 = geom.bounds(*_seg)
+    x0, x1, y0, y1 = geom.bounds(*_seg())
     return path_segments(spark).select("path_index", "seg_index", F.round(geo.rect_area(y0, y1, x0, x1) / 1e6, 5).alias("km2"), F.round(geo.middle_width(y0, y1, x0, x1), 5).alias("middle_width"), F.round((x0 + x1) / 2, 6).alias("center_lon"), F.round((y0 + y1) / 2, 6).alias("center_lat"))
 
 
@@ -188,7 +195,7 @@ def _sql_dest(lat: str, lon: str, m: str, h: str) -> tuple[str, str]:
     ),
 )
 def g07(spark: SparkSession, d: str) -> DataFrame:
-    x0, x1, y0, y1 = geom.bounds(*_seg)
+    x0, x1, y0, y1 = geom.bounds(*_seg())
     sides = geo.expand(y0, y1, x0, x1, F.lit(250.0))
     return path_segments(spark).select("path_index", "seg_index", *(F.round(s, 7).alias(n) for s, n in zip(sides, ("south", "north", "west", "east"), strict=True)))
 
@@ -227,25 +234,29 @@ def g11(spark: SparkSession, d: str) -> DataFrame:
 
 @query("g12_point_ops", over_views("SELECT path_index, seg_index, round(lon2 - lon1, 6) AS dx, round(lon1 * lon2 + lat1 * lat2, 4) AS dot, round(sqrt((lon2 - lon1) * (lon2 - lon1) + (lat2 - lat1) * (lat2 - lat1)), 6) AS distance, round(CASE WHEN lat2 >= lat1 THEN atan2(lat2 - lat1, lon2 - lon1) ELSE atan2(lat2 - lat1, lon2 - lon1) + 2 * pi() END, 6) AS direction FROM path_segments"))
 def g12(spark: SparkSession, d: str) -> DataFrame:
-    p, q = _seg
+    p, q = _seg()
     return path_segments(spark).select("path_index", "seg_index", F.round(q[0] - p[0], 6).alias("dx"), F.round(geom.dot(p, q), 4).alias("dot"), F.round(geom.length(p, q), 6).alias("distance"), F.round(geom.direction(p, q), 6).alias("direction"))
 
 
 @query("g13_rect_ops", over_views(f"SELECT path_index, round(max(x1) - min(x0), 6) AS width, round(max(y1) - min(y0), 6) AS height, round((max(x1) - min(x0)) * (max(y1) - min(y0)), 9) AS area, round((max(x1) + min(x0)) / 2, 6) AS center_x FROM (SELECT path_index, {_BOX_SQL} FROM path_segments) GROUP BY path_index"))
 def g13(spark: SparkSession, d: str) -> DataFrame:
-    x0, x1, y0, y1 = geom.bounds(*_seg)
+    x0, x1, y0, y1 = geom.bounds(*_seg())
     b = path_segments(spark).groupBy("path_index").agg(F.min(x0).alias("x0"), F.max(x1).alias("x1"), F.min(y0).alias("y0"), F.max(y1).alias("y1"))
     w, h = c("x1") - c("x0"), c("y1") - c("y0")
     return b.select("path_index", *_round(width=w, height=h), F.round(w * h, 9).alias("area"), *_round(center_x=(c("x1") + c("x0")) / 2))
 
 
 _LO, _HI = sql_clip("lon1", "lat1", "lon2", "lat2", "-7119e-2", "-7101e-2", "42101e-3", "42258e-3")
-_CLIP = tuple(F.lit(v) for v in (-71.19, -71.01, 42.101, 42.258))
+
+
+def _clip_rect() -> geom.Rect:
+    return tuple(F.lit(v) for v in (-71.19, -71.01, 42.101, 42.258))
+
 
 
 @query("g15_clip", over_views("SELECT path_index, seg_index, round(lon1 + lo * (lon2 - lon1), 6) AS cx1, round(lat1 + lo * (lat2 - lat1), 6) AS cy1, round(lon1 + hi * (lon2 - lon1), 6) AS cx2, round(lat1 + hi * (lat2 - lat1), 6) AS cy2 FROM k WHERE lo <= hi", f"k AS (SELECT *, {_LO} AS lo, {_HI} AS hi FROM path_segments)"))
 def g15(spark: SparkSession, d: str) -> DataFrame:
-    a, b, hit = geom.clip(*_seg, _CLIP)
+    a, b, hit = geom.clip(*_seg(), _clip_rect())
     return path_segments(spark).filter(hit).select("path_index", "seg_index", *_round(cx1=a[0], cy1=a[1], cx2=b[0], cy2=b[1]))
 
 
@@ -261,7 +272,7 @@ _FOOT = "((lon - lon1) * (lon2 - lon1) + (lat - lat1) * (lat2 - lat1)) / ((lon2
 )
 def g16(spark: SparkSession, d: str) -> DataFrame:
     r = vehicle_reports(spark, d).withColumn("path_index", c("event_id") % 40).withColumn("seg_index", c("event_id") % 9).drop("route_tag")
-    x, y, _, perpendicular = geom.closest(*_seg, (c("lon"), c("lat")))
+    x, y, _, perpendicular = geom.closest(*_seg(), (c("lon"), c("lat")))
     return r.join(path_segments(spark), ["path_index", "seg_index"]).select("event_id", *_round(x=x, y=y), perpendicular.alias("perpendicular"))
 
 
@@ -282,7 +293,7 @@ def g19(spark: SparkSession, d: str) -> DataFrame:
     w = Window.partitionBy("path_index").orderBy("seg_index")
     n = path_segments(spark).select("*", *(F.lead(k).over(w).alias(f"n_{k}") for k in ("lon1", "lat1", "lon2", "lat2"))).filter("n_lon1 IS NOT NULL")
     det = (c("lon2") - c("lon1")) * (c("n_lat2") - c("n_lat1")) - (c("lat2") - c("lat1")) * (c("n_lon2") - c("n_lon1"))
-    x, y = geom.intersection(*_seg, (c("n_lon1"), c("n_lat1")), (c("n_lon2"), c("n_lat2")))
+    x, y = geom.intersection(*_seg(), (c("n_lon1"), c("n_lat1")), (c("n_lon2"), c("n_lat2")))
     return n.filter(F.abs(det) > 1e-12).select("path_index", "seg_index", F.round(x, 5).alias("x"), F.round(y, 5).alias("y"))
 
 

@@ -9,7 +9,7 @@ from ..functions import when
 from ..operators import diff, merge
 from ..sources import csv_rows
 from .fixtures import over_views, table, vehicle_reports
-from .registry import query
+from .core import query
 
 c = F.col
 _CSV = "raw AS (SELECT event_id, CASE WHEN event_id % 31 = 0 THEN 'x' ELSE CAST(unix_ms AS VARCHAR) END AS f0, vehicle_id, route_tag, dir_tag, CASE WHEN event_id % 17 = 0 THEN '400' ELSE CAST(heading AS VARCHAR) END AS f5, CASE WHEN event_id % 29 = 0 THEN '95.5' ELSE '42.25' END AS f6 FROM vehicle_reports)"
