@@ -28,12 +28,13 @@ def _emitted(s: Column) -> Column:
     return F.when(s["n"] == 0, s["out"]).when(s["last"].isNull(), F.concat(s["out"], one)).otherwise(F.concat(s["out"], two))
 
 
-def _step(s: Column, r: Column) -> Column:
+def _step(s: Column, r: Column, same_tags: bool) -> Column:
     first = s["first"]
     make = lambda first, last, n, total, out, dropped: F.struct(first.alias("first"), last.alias("last"), n.cast("int").alias("n"), total.alias("total"), out.alias("out"), dropped.alias("dropped"))
     same_place = (first["lat"] == r["lat"]) & (first["lon"] == r["lon"]) & (first["heading"] == r["heading"])
     merges = same_place & (F.abs(first["unix_ms"] - r["unix_ms"]) <= MERGE_MS)
     changed = (first["route_tag"] != r["route_tag"]) | (first["dir_tag"] != r["dir_tag"])
+    merges = merges & ~changed if same_tags else merges
     none = F.lit(None).cast(_ROW)
     return (
         F.when(s["n"] == 0, make(r, none, F.lit(1), r["unix_ms"], s["out"], s["dropped"]))
@@ -43,18 +44,18 @@ def _step(s: Column, r: Column) -> Column:
     )
 
 
-def merge_reports(df: DataFrame, arrival: str, vehicle: str = "vehicle_id", slice_ms: int | None = None) -> DataFrame:
+def merge_reports(df: DataFrame, arrival: str, vehicle: str = "vehicle_id", slice_ms: int | None = None, same_tags: bool = False) -> DataFrame:
     """vehicle, unix_ms, route_tag, dir_tag, heading, lat, lon, dropped: the merged rows of each vehicle in order of arrival.
 
     A vehicle's reports fold in one array; with slice_ms a vehicle's day or hour is a fold of its own, which bounds the array at
-    the price of a merge across the border of two slices.
+    the price of a merge across the border of two slices. same_tags is the earlier rule: only reports of the same route and direction merge.
     """
     keys = [F.col(vehicle), *([F.floor(F.col("unix_ms") / slice_ms).alias("_slice")] if slice_ms else [])]
     rows = df.select(*keys, F.struct(F.col(arrival).alias("_a"), F.struct(*(F.col(k) for k in _FIELDS)).cast(_ROW).alias("_r")).alias("_x"))
     group = [vehicle, "_slice"] if slice_ms else [vehicle]
     ordered = rows.groupBy(*group).agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
     start = F.from_json(F.lit('{"n":0,"total":0,"out":[],"dropped":0}'), _STATE)
-    end = F.aggregate(F.transform("_xs", lambda x: x["_r"]), start, _step)
+    end = F.aggregate(F.transform("_xs", lambda x: x["_r"]), start, lambda s, r: _step(s, r, same_tags))
     done = ordered.select(vehicle, end.alias("_s"))
     out = done.select(vehicle, _emitted(F.col("_s")).alias("_out"), F.col("_s.dropped").alias("dropped"))
     return out.select(vehicle, F.explode("_out").alias("_o"), "dropped").select(vehicle, "_o.*", "dropped")

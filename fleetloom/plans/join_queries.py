@@ -248,3 +248,28 @@ def m06(spark: SparkSession, d: str) -> DataFrame:
 def k08(spark: SparkSession, d: str) -> DataFrame:
     r = vehicle_reports(spark, d).select("event_id").join(matches(spark, d), "event_id", "left")
     return r.groupBy(F.coalesce("path_index", F.lit(-1)).alias("path_index")).agg(F.count("*").alias("reports"))
+
+
+def _planned(spark: SparkSession, d: str, leaves: DataFrame) -> DataFrame:
+    """leaf, reports: how a plan deals out all reports."""
+    return partition.route(vehicle_reports(spark, d), leaves, c("lon"), c("lat")).groupBy("leaf").agg(F.count("*").alias("reports"))
+
+
+@query("r01_equal_count_plan")
+def r01(spark: SparkSession, d: str) -> DataFrame:
+    sample = vehicle_reports(spark, d).filter("event_id % 2 = 0").select("lon", "lat")
+    return _planned(spark, d, partition.equal_count_leaves(spark, sample, "lon", "lat", partition.Box(-71.25, -70.85, 42.05, 42.55), 2, 3, 0.005))
+
+
+@query("r04_square_plan")
+def r04(spark: SparkSession, d: str) -> DataFrame:
+    sample = vehicle_reports(spark, d).filter("event_id % 2 = 0").select("lon", "lat")
+    return _planned(spark, d, partition.square_leaves(spark, sample, "lon", "lat", partition.Box(-71.25, -70.85, 42.05, 42.55), (33_000.0, 55_000.0)))
+
+
+@query("k10_leaf_json", over_views("SELECT 20 AS leaves, 4 AS outer_corners"))
+def k10(spark: SparkSession, d: str) -> DataFrame:
+    leaves = partition.grid_leaves(spark, list(_CUTS_X), list(_CUTS_Y)).select(F.to_json(F.struct("leaf", "x0", "x1", "y0", "y1")).alias("j"))
+    back = leaves.select(F.from_json("j", "leaf int, x0 string, x1 string, y0 string, y1 string").alias("b")).select("b.*")
+    open_ = lambda k: c(k).like("%Inf%").cast("int")
+    return back.agg(F.count("*").cast("int").alias("leaves"), F.sum((open_("x0") + open_("x1") + open_("y0") + open_("y1") == 2).cast("int")).cast("int").alias("outer_corners"))

@@ -364,3 +364,16 @@ def x02(spark: SparkSession, d: str) -> DataFrame:
 @query("x03_escape", "SELECT page_id, md5(replace(replace(replace(replace(replace(url || html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&#34;'), '''', '&#39;')) AS escaped_md5 FROM pages")
 def x03(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", F.md5(xml.escape(F.concat("url", "html"))).alias("escaped_md5"))
+
+
+@query("g14_segment_ops", over_views("SELECT path_index, seg_index, round(sqrt(power(lon2 - lon1, 2) + power(lat2 - lat1, 2)), 7) AS length, round(least(lat1, lat2), 6) AS y0, lon1 >= -712e-1 AND lon2 <= -71e0 AND least(lat1, lat2) >= 421e-1 AND greatest(lat1, lat2) <= 423e-1 AS in_rect FROM path_segments"))
+def g14(spark: SparkSession, d: str) -> DataFrame:
+    p, q = _seg()
+    both = geom.inside(p, _rect()) & geom.inside(q, _rect())
+    return path_segments(spark).select("path_index", "seg_index", F.round(geom.length(p, q), 7).alias("length"), F.round(geom.bounds(p, q)[2], 6).alias("y0"), both.alias("in_rect"))
+
+
+@query("g20_ray", over_views("SELECT event_id, round(lon + cos(radians(CAST(90 - heading AS DOUBLE))), 6) AS x, round(lat + sin(radians(CAST(90 - heading AS DOUBLE))), 6) AS y FROM vehicle_reports WHERE heading BETWEEN 0 AND 360"))
+def g20(spark: SparkSession, d: str) -> DataFrame:
+    toward = geo.to_direction(c("heading"))
+    return vehicle_reports(spark, d).filter(geo.heading_valid(c("heading"))).select("event_id", *_round(x=c("lon") + F.cos(toward), y=c("lat") + F.sin(toward)))

@@ -145,3 +145,76 @@ def _merged_sql() -> str:
 @query("z01_merge", _merged_sql())
 def z01(spark: SparkSession, d: str) -> DataFrame:
     return merge.merge_reports(repeated_reports(spark, d), "arrival").select("vehicle_id", "unix_ms", "dir_tag")
+
+
+@query("z02_late_drops", over_views("SELECT vehicle_id, CAST(sum(CASE WHEN unix_ms < before THEN 1 ELSE 0 END) AS BIGINT) AS late FROM (SELECT vehicle_id, unix_ms, max(unix_ms) OVER (PARTITION BY vehicle_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM vehicle_reports) GROUP BY vehicle_id"))
+def z02(spark: SparkSession, d: str) -> DataFrame:
+    # Places of events differ, so nothing merges and each report older than the newest before it is a drop.
+    r = vehicle_reports(spark, d).withColumn("lat", c("event_id").cast("double"))
+    dropped = merge.merge_reports(r, "event_id").groupBy("vehicle_id").agg(F.max("dropped").alias("late"))
+    return dropped.select("vehicle_id", c("late").cast("long").alias("late"))
+
+
+@query("z08_same_tags_merge", over_views("SELECT vehicle_id, count(*) AS n FROM (SELECT vehicle_id, unix_ms, dir_tag, k, CASE WHEN k = 2 AND event_id % 5 = 0 THEN 1 ELSE 0 END AS own FROM vehicle_reports, (VALUES (0), (1), (2)) t(k)) WHERE k = 0 OR own = 1 GROUP BY vehicle_id"))
+def z08(spark: SparkSession, d: str) -> DataFrame:
+    return merge.merge_reports(repeated_reports(spark, d), "arrival", same_tags=True).groupBy("vehicle_id").agg(F.count("*").alias("n"))
+
+
+def feed_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Ten reports as one response in XML, with their ages before the newest whole second."""
+    r = vehicle_reports(spark, d).withColumn("batch", F.expr("event_id DIV 10"))
+    age = (c("event_id") * 7 % 60).cast("string")
+    element = F.format_string('<vehicle id="%s" routeTag="%s" dirTag="%s" lat="%s" lon="%s" secsSinceReport="%s" predictable="true" heading="%d"/>', "vehicle_id", "route_tag", "dir_tag", F.round("lat", 6).cast("string"), F.round("lon", 6).cast("string"), age, "heading")
+    body = r.groupBy("batch").agg(F.max("unix_ms").alias("last_ms"), F.array_join(F.array_sort(F.collect_list(element)), "").alias("vehicles"))
+    return body.select("batch", F.format_string('\n<?xml version="1.0"?><body>%s<lastTime time="%d"/></body>', "vehicles", "last_ms").alias("xml"))
+
+
+@query("s13_vehicle_xml", over_views("SELECT batch, vehicle_id, route_tag, dir_tag, last_ms + (least_age - age) * 1000 AS unix_ms, CASE WHEN heading >= -2 THEN heading ELSE -1 END AS heading, round(lat, 6) AS lat FROM (SELECT *, event_id // 10 AS batch, event_id * 7 % 60 AS age, max(unix_ms) OVER (PARTITION BY event_id // 10) AS last_ms, min(event_id * 7 % 60) OVER (PARTITION BY event_id // 10) AS least_age FROM vehicle_reports)"))
+def s13(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import feed_xml
+
+    return feed_xml.vehicle_reports(feed_documents(spark, d)).select("batch", "vehicle_id", "route_tag", "dir_tag", "unix_ms", "heading", F.round("lat", 6).alias("lat"))
+
+
+@query("s17_paths_xml", over_views("SELECT path_index, route_tag, CAST(count(*) + 1 AS INT) AS points, round(sum(lat1), 5) AS lat_sum FROM path_segments GROUP BY ALL"))
+def s17(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import feed_xml
+    from .fixtures import path_segments
+    from .join_queries import waypoints
+
+    point = F.struct("position", F.format_string('<point lat="%s" lon="%s"/>', c("y").cast("string"), c("x").cast("string")).alias("x"))
+    points = waypoints(spark).groupBy("path_index").agg(F.array_join(F.transform(F.array_sort(F.collect_list(point)), lambda p: p["x"]), "").alias("points"))
+    tags = path_segments(spark).select("path_index", "route_tag").distinct()
+    xml = points.join(tags, "path_index").select(F.format_string('<body><path index="%d"><route tag="%s"/>%s</path></body>', "path_index", "route_tag", "points").alias("xml"))
+    p = feed_xml.parse(xml, "xml", feed_xml.PATHS).select(F.explode("body.path").alias("p"))
+    inner = F.slice("p.point", F.lit(1), F.size("p.point") - 1)
+    total = F.aggregate(inner, F.lit(0.0), lambda a, w: a + w["_lat"])
+    return p.select(c("p._index").cast("long").alias("path_index"), F.get("p.route", F.lit(0))["_tag"].alias("route_tag"), F.size("p.point").alias("points"), F.round(total, 5).alias("lat_sum"))
+
+
+@query("s18_archive_time", over_views("SELECT event_id, CASE event_id % 3 WHEN 0 THEN unix_ms WHEN 1 THEN unix_ms // 1000 * 1000 END AS ms FROM vehicle_reports"))
+def s18(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import feed_xml
+
+    ms = c("unix_ms").cast("string")
+    name = F.when(c("event_id") % 3 == 0, F.concat(ms, F.lit(".xml"))).when(c("event_id") % 3 == 1, F.concat(F.lit("raw/"), when.stamp(c("unix_ms")), F.lit(".xml"))).otherwise(F.lit("note.xml"))
+    return vehicle_reports(spark, d).select("event_id", feed_xml.archive_time(F.replace(name, F.lit(" "), F.lit("_"))).alias("ms"))
+
+
+@query("s08_file_order", "SELECT doc_id, row_number() OVER (ORDER BY strftime(DATE '2014-01-01' + CAST(doc_id % 200 AS INT), '%Y%m%d') DESC, printf('raw/%06d', doc_id)) AS place FROM documents")
+def s08(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import archives
+
+    day = F.date_format(F.date_add(F.lit("2014-01-01").cast("date"), (c("doc_id") % 200).cast("int")), "yyyy-MM-dd")
+    path = F.concat(F.format_string("raw/%06d", "doc_id"), F.lit("-"), day, F.lit(".csv"))
+    listing = table(spark, d, "documents").select("doc_id", path.alias("path"), F.current_timestamp().alias("modificationTime"))
+    # A listing is small; its one order is the result.
+    return archives.ordered(listing).select("doc_id", F.row_number().over(Window.orderBy(F.desc("file_date"), "path")).cast("long").alias("place"))
+
+
+@query("e03_equal_configs", r"SELECT page_id, html = replace(html, '</head>', '<!-- x --></head>') AS same_bytes, md5(regexp_replace(html, '(?s)[ \n]*<!--.*?-->[ \n]*', '', 'g')) = md5(regexp_replace(replace(html, '</head>', '<!-- x --></head>'), '(?s)[ \n]*<!--.*?-->[ \n]*', '', 'g')) AS same FROM pages")
+def e03(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import catalog
+
+    other = F.replace("html", F.lit("</head>"), F.lit("<!-- x --></head>"))
+    return table(spark, d, "pages").select("page_id", (c("html") == other).alias("same_bytes"), catalog.equal_configs(c("html"), other).alias("same"))

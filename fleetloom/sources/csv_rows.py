@@ -17,7 +17,8 @@ HEADER = "# unix_ms,date time,vehicle id,route tag,direction tag,heading,latitud
 def read(spark: SparkSession, paths: str | list[str], glob: str = "*.csv*") -> DataFrame:
     """Raw string rows, with _corrupt_record where a line hasn't eight fields. Gzip is read by its extension; directories named
     config or logs are left out."""
-    rows = spark.read.schema(SCHEMA).csv(paths, comment="#", mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", recursiveFileLookup=True, pathGlobFilter=glob)
+    # A line of the wrong length shows only while all its fields are parsed.
+    rows = spark.read.schema(SCHEMA).option("columnPruning", "false").csv(paths, comment="#", mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", recursiveFileLookup=True, pathGlobFilter=glob)
     return rows.withColumn("file", F.input_file_name()).filter(~F.col("file").rlike("/(config|logs)/"))
 
 
