@@ -34,15 +34,37 @@ def grid_leaves(spark: SparkSession, cuts_x: list[float], cuts_y: list[float]) -
     return leaf_index(spark, [Box(a, b, p, q) for p, q in zip(ys, ys[1:], strict=False) for a, b in zip(xs, xs[1:], strict=False)])
 
 
-def route(df: DataFrame, leaves: DataFrame, x: Column, y: Column) -> DataFrame:
-    """df with `leaf`. The leaf list is a plan of bounded size, so its tests become one expression and no join is needed."""
-    expr = F.lit(None).cast("int")
-    for r in leaves.collect():
+def _decide(boxes: list[tuple[int, Box]], x: Column, y: Column) -> Column:
+    """The leaf of a point as a decision tree: at each node the most even cut that no box straddles."""
+
+    def within(b: Box) -> Column:
         test = F.lit(True)
-        for v, lo, hi in ((x, r.x0, r.x1), (y, r.y0, r.y1)):
+        for v, lo, hi in ((x, b.x0, b.x1), (y, b.y0, b.y1)):
             test = test & (v >= lo if lo > -INF else F.lit(True)) & (v < hi if hi < INF else F.lit(True))
-        expr = F.when(test, r.leaf).otherwise(expr)
-    return df.withColumn("leaf", expr)
+        return test
+
+    if len(boxes) > 2:
+        best = None
+        for axis, low, high in (("x", "x0", "x1"), ("y", "y0", "y1")):
+            for cut in {getattr(b, low) for _, b in boxes} - {-INF}:
+                left = [e for e in boxes if getattr(e[1], high) <= cut]
+                if left and len(left) < len(boxes) and all(getattr(b, low) >= cut or getattr(b, high) <= cut for _, b in boxes):
+                    found = (max(len(left), len(boxes) - len(left)), axis, cut, left)
+                    best = found if best is None or found[:3] < best[:3] else best
+        if best:
+            _, axis, cut, left = best
+            right = [e for e in boxes if e not in left]
+            return F.when((x if axis == "x" else y) < cut, _decide(left, x, y)).otherwise(_decide(right, x, y))
+    expr = F.lit(None).cast("int")
+    for leaf, b in boxes:
+        expr = F.when(within(b), leaf).otherwise(expr)
+    return expr
+
+
+def route(df: DataFrame, leaves: DataFrame, x: Column, y: Column) -> DataFrame:
+    """df with `leaf`, null where no leaf holds the point. A plan is small, so it becomes one expression, as deep as the logarithm of its size."""
+    boxes = [(r.leaf, Box(r.x0, r.x1, r.y0, r.y1)) for r in leaves.collect()]
+    return df.withColumn("leaf", _decide(boxes, x, y))
 
 
 def overlapping(leaves: DataFrame, region: tuple[float, float, float, float]) -> list[int]:

@@ -201,10 +201,10 @@ def j13(spark: SparkSession, d: str) -> DataFrame:
     return vehicle_reports(spark, d).join(directions(spark).filter("route_tag IN ('1', '2')"), "dir_tag", "left_semi").agg(F.count("*").alias("n"))
 
 
-@query("s25_pending_archives", "SELECT day FROM (SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events) WHERE day NOT IN (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) FROM events WHERE event_id % 97 = 0 AND user_id % 2 = 0) AND day < (SELECT max(CAST(CAST(ts AS DATE) AS VARCHAR)) FROM events)")
+@query("s25_pending_archives", "SELECT day FROM (SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events) WHERE day NOT IN (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) FROM events WHERE user_id < 3 AND value > 80) AND day < (SELECT max(CAST(CAST(ts AS DATE) AS VARCHAR)) FROM events)")
 def s25(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events").select(F.to_date("ts").cast("string").alias("day"), "event_id", "user_id")
-    return diff.pending(e.select("day").distinct(), e.filter("event_id % 97 = 0 AND user_id % 2 = 0").select("day"), "day")
+    e = table(spark, d, "events").select(F.to_date("ts").cast("string").alias("day"), "user_id", "value")
+    return diff.pending(e.select("day").distinct(), e.filter("user_id < 3 AND value > 80").select("day"), "day")
 
 
 @query("g17_segments", over_views("SELECT path_index, seg_index, round(len, 6) AS length, round(coalesce(sum(len) OVER (PARTITION BY path_index ORDER BY seg_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS start_offset FROM (SELECT *, sqrt(power(lon2 - lon1, 2) + power(lat2 - lat1, 2)) AS len FROM path_segments)"))
@@ -257,13 +257,13 @@ def _planned(spark: SparkSession, d: str, leaves: DataFrame) -> DataFrame:
 
 @query("r01_equal_count_plan")
 def r01(spark: SparkSession, d: str) -> DataFrame:
-    sample = vehicle_reports(spark, d).filter("event_id % 2 = 0").select("lon", "lat")
+    sample = vehicle_reports(spark, d).select("lon", "lat")
     return _planned(spark, d, partition.equal_count_leaves(spark, sample, "lon", "lat", partition.Box(-71.25, -70.85, 42.05, 42.55), 2, 3, 0.005))
 
 
 @query("r04_square_plan")
 def r04(spark: SparkSession, d: str) -> DataFrame:
-    sample = vehicle_reports(spark, d).filter("event_id % 2 = 0").select("lon", "lat")
+    sample = vehicle_reports(spark, d).select("lon", "lat")
     return _planned(spark, d, partition.square_leaves(spark, sample, "lon", "lat", partition.Box(-71.25, -70.85, 42.05, 42.55), (33_000.0, 55_000.0)))
 
 
