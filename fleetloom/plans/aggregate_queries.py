@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import fit, histogram, refit, spatial, stats
+from ..operators import fit, histogram, raster, refit, spatial, stats
 from .fixtures import over_views, path_segments, table, vehicle_reports
 from .join_queries import _NEAR, report_segments, waypoints
 from .core import query
@@ -189,3 +189,24 @@ def i01(spark: SparkSession, d: str) -> DataFrame:
 def i02(spark: SparkSession, d: str) -> DataFrame:
     segments = spatial.directed_segments(planar_waypoints(spark))
     return _rounded(refit.rebuild(segments, refit.fit_round(planar_reports(spark, d), segments, 4.0)), 5, "x", "y")
+
+
+_WEIGHTED = """wm0 AS (SELECT path_index, (1 - least(pi() / 2, angle) / (pi() / 2)) * least(1, 1 / greatest(distance * 1e3, 1e-9)) AS w, lon, lat FROM near WHERE angle IS NOT NULL),
+wm AS (SELECT path_index, count(*) AS n, sum(w) AS sw, sum(w * (lon + 7105e-2)) / sum(w) AS ax, sum(w * (lat - 422e-1)) / sum(w) AS ay, sum(w * power(lon + 7105e-2, 2)) / sum(w) AS qx, sum(w * power(lat - 422e-1, 2)) / sum(w) AS qy,
+    sum(w * (lon + 7105e-2) * (lat - 422e-1)) / sum(w) AS qxy FROM wm0 GROUP BY path_index),
+ws AS (SELECT path_index, n, sw, ax - 7105e-2 AS mx, ay + 422e-1 AS my, qx - ax * ax AS vx, qy - ay * ay AS vy, 2 * (qxy - ax * ay) AS den, -(qx - ax * ax - qy + ay * ay) + sqrt(power(qx - ax * ax - qy + ay * ay, 2) + 4 * power(qxy - ax * ay, 2)) AS num FROM wm)"""
+
+
+@query("i03_weighted_fit", over_views("SELECT path_index, n, round(CASE WHEN abs(num / den) <= 1 THEN mx - sqrt(vx) ELSE mx - den / num * sqrt(vy) END, 5) AS x1, round(CASE WHEN abs(num / den) <= 1 THEN my - num / den * sqrt(vx) ELSE my - sqrt(vy) END, 5) AS y1 FROM ws", _NEAR, _WEIGHTED))
+def i03(spark: SparkSession, d: str) -> DataFrame:
+    near = report_segments(spark, d).filter("angle IS NOT NULL")
+    weight = (1 - F.least(F.lit(refit.HALF), c("angle")) / refit.HALF) * F.least(F.lit(1.0), 1 / F.greatest(c("distance") * 1e3, F.lit(1e-9)))
+    m = stats.moments(near, ["path_index"], c("lon"), c("lat"), weight, (F.lit(-71.05), F.lit(42.2)))
+    return _rounded(fit.orthogonal(m, ["path_index"]).select("path_index", "n", "x1", "y1"), 5, "x1", "y1")
+
+
+@query("k12_line_cells", over_views("SELECT path_index, CAST(floor((2 * r1 * n + 2 * i * (r2 - r1) + n) / (2e0 * n)) AS BIGINT) AS pic_row, CAST(floor((2 * c1 * n + 2 * i * (c2 - c1) + n) / (2e0 * n)) AS BIGINT) AS pic_col, count(*) AS hits FROM (SELECT *, unnest(range(0, n + 1)) AS i FROM (SELECT *, greatest(abs(c2 - c1), abs(r2 - r1)) AS n FROM px)) GROUP BY ALL", "px AS (SELECT path_index, seg_index * 8 AS c1, (path_index * 3 + seg_index * 5) % 11 AS r1, seg_index * 8 + 8 AS c2, (path_index * 3 + seg_index * 5 + 5) % 11 AS r2 FROM path_segments)"))
+def k12(spark: SparkSession, d: str) -> DataFrame:
+    y = lambda k: (c("path_index") * 3 + c("seg_index") * 5 + k) % 11
+    cells = raster.line_cells(path_segments(spark), c("seg_index") * 8, y(0), c("seg_index") * 8 + 8, y(5))
+    return cells.groupBy("path_index", "pic_row", "pic_col").agg(F.count("*").alias("hits"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import geo
+from ..functions import geo, xml
 
 VEHICLES = (
     "vehicle array<struct<_id string, _routeTag string, _dirTag string, _lat double, _lon double, _secsSinceReport int, _predictable boolean, _heading int, _speedKmHr double>>, "
@@ -87,3 +87,10 @@ def archive_time(name: Column) -> Column:
     stamp = F.regexp_extract(base, r"^(\d{8}_\d{6})$", 1)
     parsed = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd_HHmmss")).cast("timestamp_ntz")) * 1000
     return F.coalesce(ms, seconds, parsed)
+
+
+def with_comment(text: Column, metadata: Column) -> Column:
+    """A response for the raw archive: its metadata (a map) as k=v lines in a comment before the root element."""
+    lines = F.array_join(F.transform(F.array_sort(F.map_entries(metadata)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "\n")
+    at = F.coalesce(xml.root_offset(text), F.lit(0))
+    return F.concat(F.substring(text, F.lit(1), at), F.lit("<!--\n"), lines, F.lit("\n-->\n"), F.substring(text, at + 1, F.length(text)))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetloom.functions import geom
-from fleetloom.operators import diff, fit, histogram, merge, partition, refit, spatial, stats
+from fleetloom.operators import diff, fit, histogram, merge, partition, raster, refit, spatial, stats
 from fleetloom.plans import join_queries
 
 c = F.col
@@ -204,3 +204,15 @@ def test_refit_finds_the_road_again(spark):
         assert math.hypot(r.x - x, r.y - y) < 12
     line = lambda p, q, r: abs((q[0] - p[0]) * (p[1] - r.y) - (p[0] - r.x) * (q[1] - p[1])) / math.dist(p, q)
     assert line(road[0], road[1], new[0]) < 3 and line(road[1], road[2], new[2]) < 3
+
+
+def test_pictures(spark):
+    df = spark.createDataFrame([(0, 0, 4, 2), (3, 1, 3, 1), (2, 5, 0, 0)], "c1 int, r1 int, c2 int, r2 int")
+    cells = raster.line_cells(df, c("c1"), c("r1"), c("c2"), c("r2")).collect()
+    assert len(cells) == 5 + 1 + 6
+    for a, b in [((0, 0), (2, 4)), ((1, 3), (1, 3)), ((5, 2), (0, 0))]:
+        assert {a, b} <= {(r.pic_row, r.pic_col) for r in cells}
+    box = raster.rectangle_cells(df.limit(1), F.lit(1), F.lit(1), F.lit(4), F.lit(3)).select("pic_row", "pic_col").distinct().count()
+    assert box == 10
+    image = raster.png(spark.createDataFrame([(0, 0, 255), (1, 2, 7)], "hist_row int, hist_col int, level int"), 3, 2)
+    assert image[:8] == b"\x89PNG\r\n\x1a\n" and image[16:24] == (3).to_bytes(4, "big") + (2).to_bytes(4, "big")

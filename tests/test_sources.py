@@ -65,6 +65,8 @@ def test_archive_names_and_comments(spark):
     comment = "URL=http://x/?a=b\nRequestTime=5\n\nContent-Type: text/xml\nServer: s"
     row = spark.range(1).select(feed_xml.archive_metadata(F.lit(comment)).alias("m"), feed_xml.archive_headers(F.lit(comment)).alias("h"), feed_xml.archive_metadata(F.lit("x")).alias("n")).first()
     assert row.m["RequestTime"] == "5" and row.h["Content-Type"] == "text/xml" and row.n is None
+    kept = spark.range(1).select(feed_xml.with_comment(F.lit("<?xml version='1.0'?>\n<body/>"), F.create_map(F.lit("URL"), F.lit("http://x"), F.lit("T"), F.lit("5"))).alias("x")).first().x
+    assert kept == "<?xml version='1.0'?>\n<!--\nT=5\nURL=http://x\n-->\n<body/>"
     same = spark.range(1).select(catalog.equal_configs(F.lit("<a><!-- 1 --><b/></a>"), F.lit("<a>\n <b/></a>")).alias("x"), catalog.equal_configs(F.lit("a 1"), F.lit("a  1")).alias("y")).first()
     assert same.x and not same.y
 
