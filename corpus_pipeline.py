@@ -17,6 +17,10 @@ from fleetloom.llm.toxicity import drop_toxic
 from fleetloom.llm.trie_bpe import trie_bpe
 
 
+#: Shares of all tokens. No document is lost: a domain that has more than its share stays as it is and the others grow.
+TARGETS = {"quality0": 0.125, "quality1": 0.875}
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject."""
     return drop_toxic(docs, read_table(spark, sf_dir, "labels"))
@@ -33,8 +37,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; those of rare domains several times, towards the target weights."""
-    return mix(docs, read_table(spark, sf_dir, "labels"))
+    """All documents; those of a domain below its target weight several times."""
+    return mix(docs, read_table(spark, sf_dir, "labels"), targets=TARGETS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -11,6 +12,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of an Arrow batch at most.
+MAX_RECORDS = 2_000
+
 _SHIPPED: set[str] = set()
 _OWN_DIR: list[str] = []
 
@@ -26,6 +30,10 @@ def ship(spark: SparkSession) -> None:
         for p in sorted(root.rglob("*.py")):
             z.write(p, str(p.relative_to(root.parent)))
     spark.sparkContext.addPyFile(target)
+    # Texts may be long: fewer of them at once in a Python worker's memory.
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(setting)) > MAX_RECORDS:
+        spark.conf.set(setting, str(MAX_RECORDS))
     _SHIPPED.add(app)
 
 
@@ -66,6 +74,12 @@ def drop_table(df: DataFrame) -> None:
         drop_path(df.sparkSession, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more, now rather than when memory happens to run short."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -7,11 +7,12 @@ A document's set holds its distinct five-word shingles as 64-bit hashes. The joi
    L(n, m) of them (prefix filter), so elements that no other set shows fall away, and with them every set that has fewer
    than L left. That leaves near copies; a passage that many documents share doesn't suffice.
 3. The remaining elements of a set, rarest first, give s - L + 1 keys, of which two linked sets share one.
-4. Under each key a leader is compared to the other sets; a comparison that a length or an earlier component decides is left out.
-   The leader then leaves the key, and keys whose sets are all in one component are done. So a group of copies costs a comparison for
-   each copy, not for each pair, and still no link between components is lost.
-5. Comparisons of one leader are a T-occurrence search: its candidates' inverted lists are divided by DivideSkip, the short ones merged
-   by a heap, the long ones probed by binary search, and candidates stay that reach the overlap that the threshold asks of them.
+4. Under each key the others are compared to a leader, the smallest class. A group of copies mostly links with it, so this costs a comparison
+   for each copy, not for each pair. Keys whose sets are now in one component are done.
+5. What is still open meets under the leaders: any two sets that share an open key share its leader a. With D = x xor a and A = a - x, two sets overlap by
+   |a| - |A_x| - |A_y| + |D_x ∩ D_y|, so only the short differences have to be searched, by those sets that the leader's component doesn't hold yet.
+6. Both searches are T-occurrence searches: inverted lists of elements are divided by DivideSkip, the short ones merged by a heap, the long ones probed by
+   binary search, and candidates stay that reach the number of common elements that the threshold asks of them.
 
 Defined results: null text is the empty text; a text of fewer than five words has its word sequence as one shingle; a text without words
 has an empty set and links with nothing; repeated rows and ids give a row each; an empty table gives none; other columns are ignored.
@@ -30,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_table, materialise, ship
+from .common import drop_table, materialise, release, ship
 from .components import connected_components
 
 WORDS = 5
@@ -38,8 +39,8 @@ WORDS = 5
 NUM, DEN = 3, 4
 #: Elements shown: all of a set of MIN_SHOWN, else a share of SHOWN.
 MIN_SHOWN, SHOWN = 128, 0.33
-#: Leaders of a key in the first round and in later ones; candidates that one search compares.
-LEADERS, CHUNK = (1, 8), 256
+#: Candidates that one search against a leader compares; members and queries of a block of differences.
+CHUNK, MEMBERS, QUERIES = 256, 2_048, 1_024
 #: Bits of the fixed-size filter that spares unconcerned documents from being cut into shingles again.
 FILTER_BITS = 1 << 24
 #: DivideSkip's tuning constant for the number of long lists.
@@ -203,42 +204,126 @@ def linked(query: np.ndarray, candidates: list[np.ndarray]) -> list[int]:
     return sorted(i for i, n in divide_skip(lists, max(1, min(asked))).items() if n >= asked[i])
 
 
-def _search(rows: DataFrame) -> DataFrame:
-    """rows(leader, chunk, is_query, sig, elements) -> links a, b; each (leader, chunk) has one query row."""
+def _groups(frames: Iterator[pd.DataFrame], columns: list[str], n_keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows of sorted frames in groups that agree in the first n_keys columns."""
+    key, held = None, []
+    for f in frames:
+        for r in zip(*(f[c] for c in columns), strict=True):
+            if r[:n_keys] != key:
+                if held:
+                    yield key, held
+                key, held = r[:n_keys], []
+            held.append(r[n_keys:])
+    if held:
+        yield key, held
+
+
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, *keys).sortWithinPartitions(*keys, F.desc("is_query"))
+
+
+def _unsigned(x) -> np.ndarray:
+    return np.asarray(x, np.int64).view(np.uint64)
+
+
+def _beside_leaders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """leader, chunk, is_query, sig, elements: of each chunk of pairs(leader, sig, chunk) the leader's set, then the others'."""
+    heads = pairs.select("leader", "chunk").distinct().select("leader", "chunk", F.lit(True).alias("is_query"), F.col("leader").alias("sig"))
+    asked = heads.union(pairs.select("leader", "chunk", F.lit(False).alias("is_query"), "sig"))
+    return _dealt(asked.join(sets, "sig").select("leader", "chunk", "is_query", "sig", "elements"), "leader", "chunk")
+
+
+def _chunked(pairs: DataFrame) -> DataFrame:
+    """With chunk: a leader with many candidates is met in several tasks."""
+    counts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / CHUNK).alias("_n"))
+    return pairs.join(counts, "leader").withColumn("chunk", F.pmod(F.xxhash64("sig"), F.col("_n")).cast("int")).drop("_n")
+
+
+def _linked_to_leaders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of pairs(leader, sig) those that are linked, as a, b."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, query, sigs, sets = None, None, [], []
+        for (leader, _), rows in _groups(frames, ["leader", "chunk", "is_query", "sig", "elements"], 2):
+            query = next(_unsigned(e) for is_query, _, e in rows if is_query)
+            others = [(sig, _unsigned(e)) for is_query, sig, e in rows if not is_query]
+            hits = linked(query, [e for _, e in others])
+            yield pd.DataFrame({"a": [leader] * len(hits), "b": [others[i][0] for i in hits]}, dtype="int64")
 
-        def done() -> pd.DataFrame:
-            hits = linked(query, sets) if query is not None else []
-            return pd.DataFrame({"a": [key[0]] * len(hits), "b": [sigs[i] for i in hits]}, dtype="int64")
+    return _beside_leaders(_chunked(pairs), sets).mapInPandas(run, "a long, b long")
 
-        for f in frames:
-            for leader, chunk, is_query, sig, elements in zip(*(f[c] for c in ("leader", "chunk", "is_query", "sig", "elements")), strict=True):
-                if (leader, chunk) != key:
-                    if sigs:
-                        yield done()
-                    key, query, sigs, sets = (leader, chunk), None, [], []
-                own = np.asarray(elements, np.int64).view(np.uint64)
-                if is_query:
-                    query = own
-                else:
-                    sigs.append(sig)
-                    sets.append(own)
-        if sigs:
-            yield done()
 
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(n, "leader", "chunk").sortWithinPartitions("leader", "chunk", F.desc("is_query"))
-    return dealt.mapInPandas(run, "a long, b long")
+def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """leader, sig, n, base (size of the leader's set), missing (of it), diff (symmetric difference with it)."""
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (leader, _), rows in _groups(frames, ["leader", "chunk", "is_query", "sig", "elements"], 2):
+            base = next(_unsigned(e) for is_query, _, e in rows if is_query)
+            out = []
+            for is_query, sig, e in rows:
+                if not is_query:
+                    own = _unsigned(e)
+                    diff = np.setxor1d(own, base, assume_unique=True)
+                    # |own xor base| = |own| + |base| - 2 |both|
+                    out.append((leader, sig, len(own), len(base), len(base) - (len(own) + len(base) - len(diff)) // 2, diff.view(np.int64)))
+            yield pd.DataFrame(out, columns=["leader", "sig", "n", "base", "missing", "diff"])
+
+    return _beside_leaders(_chunked(pairs), sets).mapInPandas(run, "leader long, sig long, n int, base int, missing int, diff array<long>")
+
+
+def linked_by_differences(queries: list[tuple[int, int, np.ndarray]], members: list[tuple[int, int, np.ndarray]], base: int) -> list[tuple[int, int]]:
+    """(query, member) numbers of linked sets; each is (size, missing, difference) against the same set of `base` elements."""
+    if not members:
+        return []
+    n, missing = np.array([m[0] for m in members]), np.array([m[1] for m in members])
+    extra = n - (base - missing)
+    joined = np.concatenate([m[2] for m in members])
+    owner = np.repeat(np.arange(len(members)), [len(m[2]) for m in members])
+    order = np.argsort(joined, kind="stable")
+    joined, owner = joined[order], owner[order]
+    out = []
+    for q, (size, gone, diff) in enumerate(queries):
+        # How many elements the two differences must have in common, and how many they can have.
+        asked = -(-NUM * (n + size) // (NUM + DEN)) - base + gone + missing
+        fits = DEN * np.minimum(n, size) >= NUM * np.maximum(n, size)
+        can = np.minimum(missing, gone) + np.minimum(extra, size - (base - gone))
+        out += [(q, int(i)) for i in np.flatnonzero(fits & (asked <= 0))]
+        open_ = fits & (asked > 0) & (asked <= can)
+        if not open_.any():
+            continue
+        least = int(asked[open_].min())
+        lo, hi = np.searchsorted(joined, diff, "left"), np.searchsorted(joined, diff, "right")
+        if (hi > lo).sum() < least:
+            continue
+        lists = [owner[a:b].tolist() for a, b in zip(lo.tolist(), hi.tolist(), strict=True) if b > a]
+        out += [(q, i) for i, k in divide_skip(lists, least).items() if open_[i] and k >= asked[i]]
+    return out
+
+
+def _linked_under_leaders(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links a, b between the sets under each leader; groups(leader, sig, component). Sets in the leader's own component don't ask."""
+    diffs = _differences(groups.select("leader", "sig"), sets).join(groups, ["leader", "sig"])
+    heads = groups.filter("leader = sig").select("leader", F.col("component").alias("home"))
+    diffs = materialise(diffs.join(heads, "leader"), "differences")
+    sizes = diffs.groupBy("leader").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("n_mb"), F.ceil(F.sum((F.col("component") != F.col("home")).cast("int")) / QUERIES).cast("int").alias("n_qb"))
+    placed = diffs.join(sizes.filter("n_qb > 0"), "leader")
+    mine, theirs = F.pmod(F.xxhash64("sig", F.lit(1)), F.col("n_mb")).cast("int"), F.pmod(F.xxhash64("sig", F.lit(2)), F.col("n_qb")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rest = ("sig", "component", "n", "missing", "base", "diff")
+    members = placed.select("leader", mine.alias("mb"), every("n_qb").alias("qb"), F.lit(False).alias("is_query"), *rest)
+    queries = placed.filter("component <> home").select("leader", every("n_mb").alias("mb"), theirs.alias("qb"), F.lit(True).alias("is_query"), *rest)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, rows in _groups(frames, ["leader", "mb", "qb", "is_query", *rest], 3):
+            q, m = [r for r in rows if r[0]], [r for r in rows if not r[0]]
+            if not q or not m:
+                continue
+            cut = lambda side: [(r[3], r[4], _unsigned(r[6])) for r in side]
+            # One link to each component that a query meets says as much as all of them.
+            hits = {(q[i][1], m[j][2]): m[j][1] for i, j in linked_by_differences(cut(q), cut(m), q[0][5]) if q[i][2] != m[j][2]}
+            yield pd.DataFrame([(a, b) for (a, _), b in hits.items()], columns=["a", "b"], dtype="int64")
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of pairs(leader, sig, chunk) those that are linked, as a, b; sets(sig, elements)."""
-    candidates = pairs.join(sets, "sig").select("leader", "chunk", F.lit(False).alias("is_query"), "sig", "elements")
-    heads = pairs.select("leader", "chunk").distinct()
-    queries = heads.join(sets.withColumnRenamed("sig", "leader"), "leader").select("leader", "chunk", F.lit(True).alias("is_query"), F.col("leader").alias("sig"), "elements")
-    return _search(queries.union(candidates))
+    return _dealt(members.union(queries), "leader", "mb", "qb").mapInPandas(run, "a long, b long")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -272,46 +357,48 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of doc_id, n, sig; sig, component of the classes of equal sets that link with others)."""
     spark = docs.sparkSession
     ship(spark)
-    all_rows = materialise(signatures(docs), "signatures")
+    shown_rows = materialise(signatures(docs), "signatures")
     key = Window.partitionBy("key")
-    rows = all_rows.filter("n > 0").select(F.explode("keys").alias("key"), "sig", "n", "need")
+    rows = shown_rows.filter("n > 0").select(F.explode("keys").alias("key"), "sig", "n", "need")
     rows = rows.select("key", "sig", "n", "need", (F.min("sig").over(key) != F.max("sig").over(key)).alias("shared"), F.count("*").over(key).alias("df"))
     rows = rows.filter("shared").select("key", "sig", "n", "need", "df").distinct()
     own = Window.partitionBy("sig")
     rows = rows.select("*", F.count("*").over(own).alias("s"), F.row_number().over(own.orderBy("df", "key")).alias("r"))
     rows = materialise(rows.filter("s >= need AND r <= s - need + 1").select("key", "sig", "n"), "join-keys")
+    all_rows = materialise(shown_rows.select("doc_id", "n", "sig"), "classes")
+    drop_table(shown_rows)
+    release(spark)
     # One document stands for each class; a class may have several rows with its smallest id.
     concerned = rows.select("sig").distinct()
     wanted = all_rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(concerned, "sig")
     wanted = materialise(wanted, "wanted")
-    sets = materialise(_sets_of(docs, wanted).groupBy("sig").agg(F.first("elements").alias("elements")), "sets")
-    components = links = None
-    alive, turn = rows.withColumn("component", F.col("sig")), 0
-    while True:
-        many = LEADERS[min(turn, len(LEADERS) - 1)]
-        ordered = Window.partitionBy("key").orderBy("sig")
-        ranked = alive.select("*", F.row_number().over(ordered).alias("rank"), (F.min("component").over(key) != F.max("component").over(key)).alias("open"))
-        ranked = materialise(ranked.filter("open").select("key", "sig", "n", "component", "rank"), "ranked")
-        if ranked.isEmpty():
-            break
-        leaders = ranked.filter(F.col("rank") <= many).select("key", F.col("sig").alias("leader"), F.col("n").alias("leader_n"), F.col("component").alias("leader_component"), F.col("rank").alias("leader_rank"))
-        pairs = ranked.join(leaders, "key").filter("rank > leader_rank AND component <> leader_component")
-        pairs = pairs.filter(f"{DEN} * least(n, leader_n) >= {NUM} * greatest(n, leader_n)").select("leader", "sig").distinct()
-        # A leader with many candidates is searched in several tasks.
-        n_chunks = F.ceil(F.col("candidates") / CHUNK)
-        counts = pairs.groupBy("leader").agg(F.count("*").alias("candidates"))
-        pairs = pairs.join(counts, "leader").select("leader", "sig", F.pmod(F.xxhash64("sig"), n_chunks).cast("int").alias("chunk"))
-        pairs = materialise(pairs, "pairs")
-        found = materialise(_verify(pairs, sets), "found")
-        links = found if links is None else materialise(links.union(found), "all-links")
-        if components is not None:
-            drop_table(components)
-        components = connected_components(links)
-        rest = ranked.filter(F.col("rank") > many).select("key", "sig", "n")
-        alive = rest.join(components.withColumnRenamed("id", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-        turn += 1
-    if components is None:
-        components = spark.createDataFrame([], "id long, component long")
+    # A repeated row of a class's document gives its set twice, which costs a comparison and changes no result.
+    sets = materialise(_sets_of(docs, wanted), "sets")
+    release(spark)
+    first = F.struct("sig", "n")
+    led = rows.withColumn("lead", F.min(first).over(key)).select("key", "sig", "n", F.col("lead.sig").alias("leader"), F.col("lead.n").alias("leader_n"))
+    pairs = led.filter(f"sig <> leader AND {DEN} * least(n, leader_n) >= {NUM} * greatest(n, leader_n)").select("leader", "sig").distinct()
+    found = materialise(_linked_to_leaders(materialise(pairs, "pairs"), sets), "found")
+    release(spark)
+    components = connected_components(found)
+    named = led.join(components.withColumnRenamed("id", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    many = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
+    still = materialise(named.join(many, "key").select("key", "sig", "component"), "open-keys")
+    # The set that is under most open keys leads all its keys, and a leader's sets go to the busiest leader that it has itself:
+    # so sets of one family meet under few leaders.
+    busy = still.join(still.groupBy("sig").agg(F.count("*").alias("held")), "sig").withColumn("lead", F.max(F.struct("held", "sig")).over(key))
+    led = materialise(busy.select(F.col("lead.held").alias("held"), F.col("lead.sig").alias("leader"), "sig", "component").distinct(), "led")
+    drop_table(still)
+    tops = led.groupBy(F.col("sig").alias("leader")).agg(F.max(F.struct("held", "leader")).alias("top"))
+    moved = led.join(tops, "leader").select(F.col("top.leader").alias("leader"), "sig", "component")
+    heads = led.filter("leader = sig").select("leader", "sig", "component").join(moved.select("leader").distinct(), "leader", "left_semi")
+    groups = materialise(moved.union(heads).distinct(), "groups")
+    drop_table(led)
+    release(spark)
+    if not groups.isEmpty():
+        more = materialise(_linked_under_leaders(groups, sets), "found-more")
+        drop_table(components)
+        components = connected_components(found.union(more))
     return all_rows.select("doc_id", "n", "sig"), components.select(F.col("id").alias("sig"), "component")
 
 
@@ -331,7 +418,10 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """
     groups = jaccard_components(docs).filter("doc_id IS NOT NULL")
     kept = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("_stays"), F.count("*").alias("_rows"))
+    kept = materialise(kept.filter("_stays"), "kept-ids")
+    release(docs.sparkSession)
     rows = docs.join(kept, "doc_id", "left").filter("_stays OR doc_id IS NULL").select(*docs.columns, "_rows")
-    # Ids are seldom repeated, so the second branch holds few rows.
+    if kept.filter("_rows > 1").isEmpty():
+        return rows.drop("_rows")
     once = rows.filter("_rows = 1 OR _rows IS NULL").drop("_rows")
     return once.union(rows.filter("_rows > 1").drop("_rows").dropDuplicates(["doc_id", "text"]))
