@@ -62,6 +62,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def materialise_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like materialise(), dealt into buckets by a key, so that later joins on it leave these rows where they are."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(shuffle_partitions(spark), key).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    out._fleetloom_path, out._fleetloom_table = path, table
+    return out
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -70,6 +81,8 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 def drop_table(df: DataFrame) -> None:
     """Delete a table of materialise() that nothing will read again."""
+    if table := getattr(df, "_fleetloom_table", None):
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
     if path := getattr(df, "_fleetloom_path", None):
         drop_path(df.sparkSession, path)
 

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_table, materialise, release, ship
+from .common import drop_table, materialise, materialise_bucketed, release, ship
 from .components import connected_components
 
 WORDS = 5
@@ -43,9 +43,10 @@ MIN_SHOWN, SHOWN = 128, 0.33
 CHUNK, MEMBERS, QUERIES = 256, 2_048, 1_024
 #: Bits of the fixed-size filter that spares unconcerned documents from being cut into shingles again.
 FILTER_BITS = 1 << 24
+DROP_BITS = 1 << 22
 #: DivideSkip's tuning constant for the number of long lists.
 MU = 0.01
-MAX_WORDS = 400_000
+MAX_WORDS = 150_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -206,6 +207,7 @@ def linked(query: np.ndarray, candidates: list[np.ndarray]) -> list[int]:
 
 def _groups(frames: Iterator[pd.DataFrame], columns: list[str], n_keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
     """Rows of sorted frames in groups that agree in the first n_keys columns."""
+    _SHINGLER.clear()  # its memory of words isn't needed beside the sets
     key, held = None, []
     for f in frames:
         for r in zip(*(f[c] for c in columns), strict=True):
@@ -227,17 +229,18 @@ def _unsigned(x) -> np.ndarray:
     return np.asarray(x, np.int64).view(np.uint64)
 
 
-def _beside_leaders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """leader, chunk, is_query, sig, elements: of each chunk of pairs(leader, sig, chunk) the leader's set, then the others'."""
-    heads = pairs.select("leader", "chunk").distinct().select("leader", "chunk", F.lit(True).alias("is_query"), F.col("leader").alias("sig"))
-    asked = heads.union(pairs.select("leader", "chunk", F.lit(False).alias("is_query"), "sig"))
-    return _dealt(asked.join(sets, "sig").select("leader", "chunk", "is_query", "sig", "elements"), "leader", "chunk")
+def _beside_leaders(pairs: DataFrame, sets: DataFrame, *more: str) -> DataFrame:
+    """leader, chunk, is_query, sig, more.., elements: of each chunk of a leader's candidates the leader's set, then theirs.
 
-
-def _chunked(pairs: DataFrame) -> DataFrame:
-    """With chunk: a leader with many candidates is met in several tasks."""
-    counts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / CHUNK).alias("_n"))
-    return pairs.join(counts, "leader").withColumn("chunk", F.pmod(F.xxhash64("sig"), F.col("_n")).cast("int")).drop("_n")
+    pairs(leader, sig, more..) has a row for the leader itself where more columns are asked for. A leader with many candidates is met
+    in several chunks.
+    """
+    counts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("n_chunks"))
+    dealt = pairs.join(counts, "leader")
+    candidates = dealt.select("leader", F.pmod(F.xxhash64("sig"), F.col("n_chunks")).cast("int").alias("chunk"), F.lit(False).alias("is_query"), "sig", *more)
+    own = dealt.filter("leader = sig") if more else dealt.select("leader", F.col("leader").alias("sig"), "n_chunks").distinct()
+    heads = own.select("leader", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("chunk"), F.lit(True).alias("is_query"), "sig", *more)
+    return _dealt(heads.union(candidates).join(sets, "sig").select("leader", "chunk", "is_query", "sig", *more, "elements"), "leader", "chunk")
 
 
 def _linked_to_leaders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -247,28 +250,33 @@ def _linked_to_leaders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for (leader, _), rows in _groups(frames, ["leader", "chunk", "is_query", "sig", "elements"], 2):
             query = next(_unsigned(e) for is_query, _, e in rows if is_query)
             others = [(sig, _unsigned(e)) for is_query, sig, e in rows if not is_query]
-            hits = linked(query, [e for _, e in others])
+            hits = linked(query, [e for _, e in others]) if others else []
             yield pd.DataFrame({"a": [leader] * len(hits), "b": [others[i][0] for i in hits]}, dtype="int64")
 
-    return _beside_leaders(_chunked(pairs), sets).mapInPandas(run, "a long, b long")
+    return _beside_leaders(pairs, sets).mapInPandas(run, "a long, b long")
 
 
-def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """leader, sig, n, base (size of the leader's set), missing (of it), diff (symmetric difference with it)."""
+def _differences(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """groups(leader, sig, component, n_mb, n_qb) with home (the leader's component), n, base (size of the leader's set), missing (of it) and diff
+    (symmetric difference with it)."""
+    given = ["leader", "chunk", "is_query", "sig", "component", "n_mb", "n_qb", "elements"]
+    names = ["leader", "sig", "component", "home", "n_mb", "n_qb", "n", "base", "missing", "diff"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for (leader, _), rows in _groups(frames, ["leader", "chunk", "is_query", "sig", "elements"], 2):
-            base = next(_unsigned(e) for is_query, _, e in rows if is_query)
+        for (leader, _), rows in _groups(frames, given, 2):
+            home, base = next((r[2], _unsigned(r[5])) for r in rows if r[0])
             out = []
-            for is_query, sig, e in rows:
+            for is_query, sig, component, n_mb, n_qb, e in rows:
                 if not is_query:
                     own = _unsigned(e)
                     diff = np.setxor1d(own, base, assume_unique=True)
                     # |own xor base| = |own| + |base| - 2 |both|
-                    out.append((leader, sig, len(own), len(base), len(base) - (len(own) + len(base) - len(diff)) // 2, diff.view(np.int64)))
-            yield pd.DataFrame(out, columns=["leader", "sig", "n", "base", "missing", "diff"])
+                    out.append((leader, sig, component, home, n_mb, n_qb, len(own), len(base), len(base) - (len(own) + len(base) - len(diff)) // 2, diff.view(np.int64)))
+            if out:
+                yield pd.DataFrame(out, columns=names)
 
-    return _beside_leaders(_chunked(pairs), sets).mapInPandas(run, "leader long, sig long, n int, base int, missing int, diff array<long>")
+    schema = "leader long, sig long, component long, home long, n_mb int, n_qb int, n int, base int, missing int, diff array<long>"
+    return _beside_leaders(groups, sets, "component", "n_mb", "n_qb").mapInPandas(run, schema)
 
 
 def linked_by_differences(queries: list[tuple[int, int, np.ndarray]], members: list[tuple[int, int, np.ndarray]], base: int) -> list[tuple[int, int]]:
@@ -302,11 +310,10 @@ def linked_by_differences(queries: list[tuple[int, int, np.ndarray]], members: l
 
 def _linked_under_leaders(groups: DataFrame, sets: DataFrame) -> DataFrame:
     """Links a, b between the sets under each leader; groups(leader, sig, component). Sets in the leader's own component don't ask."""
-    diffs = _differences(groups.select("leader", "sig"), sets).join(groups, ["leader", "sig"])
-    heads = groups.filter("leader = sig").select("leader", F.col("component").alias("home"))
-    diffs = materialise(diffs.join(heads, "leader"), "differences")
-    sizes = diffs.groupBy("leader").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("n_mb"), F.ceil(F.sum((F.col("component") != F.col("home")).cast("int")) / QUERIES).cast("int").alias("n_qb"))
-    placed = diffs.join(sizes.filter("n_qb > 0"), "leader")
+    homes = groups.filter("leader = sig").select("leader", F.col("component").alias("home"))
+    asks = F.sum((F.col("component") != F.col("home")).cast("int"))
+    sizes = groups.join(homes, "leader").groupBy("leader").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("n_mb"), F.ceil(asks / QUERIES).cast("int").alias("n_qb"))
+    placed = materialise(_differences(groups.join(sizes.filter("n_qb > 0"), "leader"), sets), "differences")
     mine, theirs = F.pmod(F.xxhash64("sig", F.lit(1)), F.col("n_mb")).cast("int"), F.pmod(F.xxhash64("sig", F.lit(2)), F.col("n_qb")).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     rest = ("sig", "component", "n", "missing", "base", "diff")
@@ -350,7 +357,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     cut = rows.withColumn("slot", slot).mapInPandas(run, "doc_id long, sig long, elements array<long>")
-    return cut.join(wanted, ["doc_id", "sig"]).select("sig", "elements")
+    return cut.join(wanted.withColumnRenamed("doc_id", "first_id"), "sig").filter("doc_id = first_id").select("sig", "elements")
 
 
 def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -373,7 +380,7 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     wanted = all_rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(concerned, "sig")
     wanted = materialise(wanted, "wanted")
     # A repeated row of a class's document gives its set twice, which costs a comparison and changes no result.
-    sets = materialise(_sets_of(docs, wanted), "sets")
+    sets = materialise_bucketed(_sets_of(docs, wanted), "sets", "sig")
     release(spark)
     first = F.struct("sig", "n")
     led = rows.withColumn("lead", F.min(first).over(key)).select("key", "sig", "n", F.col("lead.sig").alias("leader"), F.col("lead.n").alias("leader_n"))
@@ -399,6 +406,7 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         more = materialise(_linked_under_leaders(groups, sets), "found-more")
         drop_table(components)
         components = connected_components(found.union(more))
+    drop_table(sets)
     return all_rows.select("doc_id", "n", "sig"), components.select(F.col("id").alias("sig"), "component")
 
 
@@ -418,10 +426,21 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """
     groups = jaccard_components(docs).filter("doc_id IS NOT NULL")
     kept = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("_stays"), F.count("*").alias("_rows"))
-    kept = materialise(kept.filter("_stays"), "kept-ids")
+    kept = materialise(kept, "kept-ids")
     release(docs.sparkSession)
-    rows = docs.join(kept, "doc_id", "left").filter("_stays OR doc_id IS NULL").select(*docs.columns, "_rows")
-    if kept.filter("_rows > 1").isEmpty():
-        return rows.drop("_rows")
-    once = rows.filter("_rows = 1 OR _rows IS NULL").drop("_rows")
-    return once.union(rows.filter("_rows > 1").drop("_rows").dropDuplicates(["doc_id", "text"]))
+    # Documents whose slot in a bitmap of fixed size holds no dropped or repeated id stay without a join, so only the others' texts move.
+    slot = lambda: F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(DROP_BITS))
+    doubt = kept.filter("NOT _stays OR _rows > 1").select(slot().alias("slot"))
+    words = doubt.groupBy(F.shiftright("slot", 6).cast("int").alias("number")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits")).collect()
+    if not words:
+        return docs
+    bitmap = [0] * (DROP_BITS // 64)
+    for r in words:
+        bitmap[r.number] = r.bits
+    bits = F.split(F.lit(",".join(map(str, bitmap))), ",").cast("array<bigint>")
+    held = F.coalesce(F.getbit(F.get(bits, F.shiftright(slot(), 6).cast("int")), slot().bitwiseAND(63).cast("int")) == 1, F.lit(False))
+    rows = docs.filter(held).join(kept.filter("_stays"), "doc_id").select(*docs.columns, "_rows")
+    once = rows.filter("_rows = 1").drop("_rows")
+    if not kept.filter("_stays AND _rows > 1").isEmpty():
+        once = once.union(rows.filter("_rows > 1").drop("_rows").dropDuplicates(["doc_id", "text"]))
+    return docs.filter(~held).union(once)

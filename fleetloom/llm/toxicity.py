@@ -33,7 +33,7 @@ MAX_ROWS = 16_000
 MAX_FEATURES, MIN_ROWS, MIN_RATIO = 4_000, 4, 24.0
 FOLDS = 5
 #: Words that a scoring worker remembers at most.
-MAX_WORDS = 300_000
+MAX_WORDS = 120_000
 
 # Names of groups of people; each is swapped for the others of its line.
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (

@@ -27,7 +27,7 @@ from .common import ship
 from .wordclass import LETTERS, NUMBERS, SPACE, UNUSUAL, byte_symbols
 
 #: Distinct words that a worker remembers at most. A full memory is kept while it serves most words, else begun anew. Pairs of tokens.
-MAX_WORDS, STALE, MAX_PAIRS = 400_000, 0.5, 1_000_000
+MAX_WORDS, STALE, MAX_PAIRS = 250_000, 0.5, 500_000
 
 # The vocabulary's own word pattern, with its classes written out for the code points below U+0250.
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{SPACE}{LETTERS}{NUMBERS}]+")
