@@ -371,7 +371,8 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = rows.filter("shared").select("key", "sig", "n", "need", "df").distinct()
     own = Window.partitionBy("sig")
     rows = rows.select("*", F.count("*").over(own).alias("s"), F.row_number().over(own.orderBy("df", "key")).alias("r"))
-    rows = materialise(rows.filter("s >= need AND r <= s - need + 1").select("key", "sig", "n"), "join-keys")
+    rows = rows.filter("s >= need AND r <= s - need + 1").select("key", "sig", "n", (F.col("s") - F.col("need") + 1).alias("held"))
+    rows = materialise_bucketed(rows, "join-keys", "sig")
     all_rows = materialise(shown_rows.select("doc_id", "n", "sig"), "classes")
     drop_table(shown_rows)
     release(spark)
@@ -388,14 +389,13 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = materialise(_linked_to_leaders(materialise(pairs, "pairs"), sets), "found")
     release(spark)
     components = connected_components(found)
-    named = led.join(components.withColumnRenamed("id", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    named = rows.join(components.withColumnRenamed("id", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     many = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
-    still = materialise(named.join(many, "key").select("key", "sig", "component"), "open-keys")
-    # The set that is under most open keys leads all its keys, and a leader's sets go to the busiest leader that it has itself:
+    still = named.join(many, "key").select("key", "sig", "held", "component")
+    # The set that is under most keys leads all its keys, and a leader's sets go to the busiest leader that it has itself:
     # so sets of one family meet under few leaders.
-    busy = still.join(still.groupBy("sig").agg(F.count("*").alias("held")), "sig").withColumn("lead", F.max(F.struct("held", "sig")).over(key))
+    busy = still.withColumn("lead", F.max(F.struct("held", "sig")).over(key))
     led = materialise(busy.select(F.col("lead.held").alias("held"), F.col("lead.sig").alias("leader"), "sig", "component").distinct(), "led")
-    drop_table(still)
     tops = led.groupBy(F.col("sig").alias("leader")).agg(F.max(F.struct("held", "leader")).alias("top"))
     moved = led.join(tops, "leader").select(F.col("top.leader").alias("leader"), "sig", "component")
     heads = led.filter("leader = sig").select("leader", "sig", "component").join(moved.select("leader").distinct(), "leader", "left_semi")
@@ -407,6 +407,7 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         drop_table(components)
         components = connected_components(found.union(more))
     drop_table(sets)
+    drop_table(rows)
     return all_rows.select("doc_id", "n", "sig"), components.select(F.col("id").alias("sig"), "component")
 
 
