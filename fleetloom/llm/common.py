@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,6 +97,29 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+_WORKER: dict[Any, Any] = {}
+
+
+def forget() -> None:
+    """Give back what this Python worker remembers for other operators, and what its allocators hold unused."""
+    _WORKER.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def worker_memory(key: Any, make: Callable[[], Any]) -> Any:
+    """What a worker keeps from task to task, for one operator at a time: an encoder or a memory of words.
+
+    Tasks call this by name: what they close over would be a copy for each task.
+    """
+    if key not in _WORKER:
+        forget()
+        _WORKER[key] = make()
+    return _WORKER[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_table, materialise, materialise_bucketed, release, ship
+from .common import drop_table, forget, materialise, materialise_bucketed, release, ship, worker_memory
 from .components import connected_components
 
 WORDS = 5
@@ -96,13 +96,8 @@ class Shingler:
         return out
 
 
-_SHINGLER: list[Shingler] = []
-
-
 def _shingler() -> Shingler:
-    if not _SHINGLER:
-        _SHINGLER.append(Shingler())
-    return _SHINGLER[0]
+    return worker_memory("shingler", Shingler)
 
 
 def shown(n: int) -> int:
@@ -207,7 +202,7 @@ def linked(query: np.ndarray, candidates: list[np.ndarray]) -> list[int]:
 
 def _groups(frames: Iterator[pd.DataFrame], columns: list[str], n_keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
     """Rows of sorted frames in groups that agree in the first n_keys columns."""
-    _SHINGLER.clear()  # its memory of words isn't needed beside the sets
+    forget()
     key, held = None, []
     for f in frames:
         for r in zip(*(f[c] for c in columns), strict=True):

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import forget, ship
 
 #: Base kinds first, in the order that breaks ties; then the confirmed ones.
 BASE_KINDS = ("assign", "access", "hex")
@@ -221,6 +221,7 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("string")
     def redact(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget()
         for texts in batches:
             yield texts.map(redacted, na_action="ignore")
 

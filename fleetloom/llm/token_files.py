@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, ship, shuffle_partitions
+from .common import fresh_path, ship, shuffle_partitions, worker_memory
 from .wordclass import LETTERS, NUMBERS, SPACE, UNUSUAL, byte_symbols
 
 END_ID = 2
@@ -109,14 +109,9 @@ class PieceEncoder:
         return out
 
 
-_ENCODERS: dict[tuple, PieceEncoder] = {}
-
-
 def encoder_of(path: str, end_id: int) -> PieceEncoder:
-    """This process's encoder. Tasks call this by name: what they close over would be a copy for each task."""
-    if (path, end_id) not in _ENCODERS:
-        _ENCODERS[path, end_id] = PieceEncoder(path, end_id)
-    return _ENCODERS[path, end_id]
+    """This process's encoder."""
+    return worker_memory(("pieces", path, end_id), lambda: PieceEncoder(path, end_id))
 
 
 def _slices(texts: list[str], most: int = 4_000_000) -> Iterator[slice]:

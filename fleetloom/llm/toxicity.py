@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import forget, ship
 
 #: Labelled rows that the model is fitted on at most (the expected number of a hashed sample).
 MAX_ROWS = 16_000
@@ -158,6 +158,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, l
     swaps = {t: tuple(o for o in line if o != t) for line in identity for t in line}
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         seen = (Counter(), Counter())
         for f in frames:
             for toxic, text in zip(f["toxic"].tolist(), f["text"].tolist(), strict=True):
@@ -213,6 +214,7 @@ def with_score(docs: DataFrame, model: ToxicityModel, column: str = "score") ->
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget()
         score = model.scorer()
         for b in batches:
             yield b.map(score).astype("float64")

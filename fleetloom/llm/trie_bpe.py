@@ -23,11 +23,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, worker_memory
 from .wordclass import LETTERS, NUMBERS, SPACE, UNUSUAL, byte_symbols
 
 #: Distinct words that a worker remembers at most. A full memory is kept while it serves most words, else begun anew. Pairs of tokens.
-MAX_WORDS, STALE, MAX_PAIRS = 250_000, 0.5, 500_000
+MAX_WORDS, STALE, MAX_PAIRS = 200_000, 0.5, 500_000
 
 # The vocabulary's own word pattern, with its classes written out for the code points below U+0250.
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{SPACE}{LETTERS}{NUMBERS}]+")
@@ -175,14 +175,9 @@ class TrieBpe:
         return out
 
 
-_ENCODERS: dict[str, TrieBpe] = {}
-
-
 def encoder_of(path: str) -> TrieBpe:
-    """This process's encoder. Tasks call this by name: what they close over would be a copy for each task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = TrieBpe(path)
-    return _ENCODERS[path]
+    """This process's encoder."""
+    return worker_memory(("trie", path), lambda: TrieBpe(path))
 
 
 def trie_bpe(docs: DataFrame, vocabulary_path: str, with_text: bool = False) -> DataFrame:
