@@ -151,6 +151,14 @@ def test_mixing_runs_no_python_on_executors(spark):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
+def test_pipeline_mixes_to_the_targets_of_op10(spark, monkeypatch):
+    docs, labels = frames(spark, *mixed_corpus(400))
+    monkeypatch.setattr(corpus_pipeline, "read_table", lambda *_: labels)
+    copies = lambda d: dict(d.groupBy("doc_id").count().collect())
+    got = copies(corpus_pipeline.mixing(spark, docs, SF))
+    assert got == copies(mixing.mix(docs, labels, targets={"quality0": 0.1, "quality1": 0.9})) and sum(got.values()) > 400
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = read_table(spark, SF, "documents")
     columns, before = docs.columns, docs.count()
