@@ -133,8 +133,14 @@ def _signature(s: np.ndarray) -> int:
     return int(np.array([_shingler().hash(s.tobytes())], np.uint64).view(np.int64)[0])
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """text (null as empty), ref, which is never null (the id or, without one, a hash of the text), and has_id."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return rows.select("text", F.coalesce("doc_id", F.xxhash64("text")).alias("ref"), F.col("doc_id").isNotNull().alias("has_id"))
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, n (set size), sig (hash of the set), keys (its shown elements, in hash order)."""
+    """docs(doc_id, text) -> doc_id, n (set size), sig (hash of the set), keys (its shown elements, in hash order), text_key (hash of a text without an id)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -143,7 +149,8 @@ def signatures(docs: DataFrame) -> DataFrame:
                 sets = _shingler().sets(texts[a:b])
                 yield pd.DataFrame(
                     {
-                        "doc_id": f["doc_id"].iloc[a:b].to_numpy(dtype=object, na_value=None),
+                        "ref": f["ref"].iloc[a:b],
+                        "has_id": f["has_id"].iloc[a:b],
                         "n": [len(s) for s in sets],
                         "sig": [_signature(s) for s in sets],
                         "keys": [s[: shown(len(s))].view(np.int64) for s in sets],
@@ -151,8 +158,9 @@ def signatures(docs: DataFrame) -> DataFrame:
                     }
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n int, sig long, keys array<long>, need int")
+    # pandas would turn longs with nulls among them into floats, so the nulls are put back outside.
+    cut = _keyed(docs).mapInPandas(run, "ref long, has_id boolean, n int, sig long, keys array<long>, need int")
+    return cut.select(F.expr("CASE WHEN has_id THEN ref END").alias("doc_id"), "n", "sig", "keys", "need", F.expr("CASE WHEN NOT has_id THEN ref END").alias("text_key"))
 
 
 def divide_skip(lists: list[list[int]], least: int) -> dict[int, int]:
@@ -329,9 +337,9 @@ def _linked_under_leaders(groups: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The whole sets of the classes in wanted(sig, doc_id): sig, elements."""
+    """The whole sets of the classes in wanted(sig, ref, has_id): sig, elements."""
     # A bitmap of fixed size says which documents may be wanted; the join after it decides.
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)) + 1
+    slot = F.pmod(F.xxhash64("ref"), F.lit(FILTER_BITS)) + 1
     bits = (
         wanted.select(slot.alias("slot")).groupBy(F.expr("bitmap_bucket_number(slot)").alias("part"))
         .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits")).collect()
@@ -340,19 +348,24 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     width = 4096 * 8
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        met: set[int] = set()  # texts without an id give their set once in a task
         for f in frames:
             slots = f["slot"].to_numpy()
             part, pos = (slots - 1) // width + 1, (slots - 1) % width
             keep = [bool((b := parts.get(int(p))) and b[q >> 3] >> (q & 7) & 1) for p, q in zip(part, pos.tolist(), strict=True)]
             f = f[keep]
+            nameless = ~f["has_id"].to_numpy(dtype=bool)
+            if nameless.any():
+                f = f[~(nameless & (f["ref"].isin(met) | f["ref"].duplicated()).to_numpy(dtype=bool))]
+                met.update(f["ref"][~f["has_id"].astype(bool)].tolist())
             texts = f["text"].tolist()
             for a, b in _runs(texts):
                 sets = _shingler().sets(texts[a:b])
-                yield pd.DataFrame({"doc_id": f["doc_id"].iloc[a:b], "sig": [_signature(s) for s in sets], "elements": [s.view(np.int64) for s in sets]})
+                yield pd.DataFrame({"ref": f["ref"].iloc[a:b], "has_id": f["has_id"].iloc[a:b], "sig": [_signature(s) for s in sets], "elements": [s.view(np.int64) for s in sets]})
 
-    rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    cut = rows.withColumn("slot", slot).mapInPandas(run, "doc_id long, sig long, elements array<long>")
-    return cut.join(wanted.withColumnRenamed("doc_id", "first_id"), "sig").filter("doc_id = first_id").select("sig", "elements")
+    cut = _keyed(docs).withColumn("slot", slot).mapInPandas(run, "ref long, has_id boolean, sig long, elements array<long>")
+    first = wanted.select("sig", F.col("ref").alias("first_ref"), F.col("has_id").alias("first_has_id"))
+    return cut.join(first, "sig").filter("ref = first_ref AND has_id = first_has_id").select("sig", "elements")
 
 
 def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -368,12 +381,13 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = rows.select("*", F.count("*").over(own).alias("s"), F.row_number().over(own.orderBy("df", "key")).alias("r"))
     rows = rows.filter("s >= need AND r <= s - need + 1").select("key", "sig", "n", (F.col("s") - F.col("need") + 1).alias("held"))
     rows = materialise_bucketed(rows, "join-keys", "sig")
-    all_rows = materialise(shown_rows.select("doc_id", "n", "sig"), "classes")
+    all_rows = materialise(shown_rows.select("doc_id", "n", "sig", "text_key"), "classes")
     drop_table(shown_rows)
     release(spark)
-    # One document stands for each class; a class may have several rows with its smallest id.
+    # One document stands for each class, by its text where no row of the class has an id; a class may have several rows with its smallest id.
     concerned = rows.select("sig").distinct()
-    wanted = all_rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(concerned, "sig")
+    stands = all_rows.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first_id"), F.min("text_key").alias("first_key"))
+    wanted = stands.select("sig", F.coalesce("first_id", "first_key").alias("ref"), F.col("first_id").isNotNull().alias("has_id")).join(concerned, "sig")
     wanted = materialise(wanted, "wanted")
     # A repeated row of a class's document gives its set twice, which costs a comparison and changes no result.
     sets = materialise_bucketed(_sets_of(docs, wanted), "sets", "sig")

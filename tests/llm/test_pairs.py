@@ -80,6 +80,23 @@ def test_jaccard_join_of_empty_and_null_rows(spark):
     assert kept == [0, 1, 2, 3, 4]
 
 
+def test_near_copies_without_an_id_link_as_leaders_and_as_members(spark):
+    sig = lambda t: jaccard_join._signature(jaccard_join.Shingler().sets([t])[0])
+    rows, want, leads = [], {}, set()
+    for k in range(12):
+        words = [f"f{k}w{i}" for i in range(100)]
+        edit = lambda *at, words=words: " ".join("new" if i in at else w for i, w in enumerate(words))
+        a, middle, b = edit(20, 40), edit(), edit(60, 80)  # a and b are linked by the middle only
+        assert similar(shingles(a), shingles(middle)) and similar(shingles(middle), shingles(b)) and not similar(shingles(a), shingles(b))
+        rows += [(2 * k + 1, a), (None, middle), (None, middle), (2 * k + 2, b)]
+        want |= {2 * k + 1: 2 * k + 1, 2 * k + 2: 2 * k + 1}
+        leads.add(sig(middle) < min(sig(a), sig(b)))
+    assert leads == {True, False}
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == want
+    assert sorted(r.component_id for r in got if r.doc_id is None) == sorted(2 * [2 * k + 1 for k in range(12)])
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 12), unique=True).map(sorted), max_size=14), st.integers(1, 8))
 def test_divide_skip_counts_like_a_scan(lists, least):
