@@ -35,9 +35,11 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # a run of 24 at least is the whole run: what can't match starts no later inside it
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.S)
 # A DER sequence starts with 0x30, an OpenSSH key with its magic, an encoded PEM block with dashes.
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_=-])(?:M[A-P]|b3BlbnNzaC1rZXktdjE|LS0tLS1CRUdJTi)[A-Za-z0-9+/_-]{30,}={0,2}")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-P][A-Za-z0-9+/_-]{6}|b3BlbnNzaC1rZXktdjE|LS0tLS1CRUdJTi)[A-Za-z0-9+/_-]*={0,2}")
+# What may follow on the next line of a wrapped run; line ends may be escaped.
+_WRAPPED = re.compile(r"(?:[ \t\r]*\n[ \t]*|(?:\\r)?\\n)([A-Za-z0-9+/_-]+={0,2})")
 _HEX_DER = re.compile(r"(?<![0-9A-Fa-f])(?:30[0-9A-Fa-f]{60,}|6f70656e7373682d6b65792d7631[0-9A-Fa-f]{40,})")
-_SIGNED = re.compile(r"(?<![A-Za-z0-9_.=-])e[wy][A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]*){2,4}")
+_SIGNED = re.compile(r"(?<![A-Za-z0-9_.-])e[wy][A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]*){2,4}")
 _OPENSSH = b"openssh-key-v1\0"
 
 
@@ -93,10 +95,10 @@ def is_der_private_key(data: bytes) -> bool:
     return False
 
 
-def is_openssh_key(data: bytes) -> bool:
-    """The OpenSSH private key container: strings with 32-bit lengths, a key count, public keys and the private part."""
+def _openssh_size(data: bytes) -> int | None:
+    """How many bytes the OpenSSH private key container takes: strings with 32-bit lengths, a key count, public keys and the private part."""
     if not data.startswith(_OPENSSH):
-        return False
+        return None
     at, fields = len(_OPENSSH), 0
 
     def field() -> bytes | None:
@@ -111,11 +113,15 @@ def is_openssh_key(data: bytes) -> bool:
 
     for _ in range(3):  # cipher, key derivation, its options
         if field() is None:
-            return False
+            return None
     if at + 4 > len(data) or not 1 <= (fields := int.from_bytes(data[at : at + 4], "big")) <= 64:
-        return False
+        return None
     at += 4
-    return all(field() is not None for _ in range(fields)) and bool(field())
+    return at if all(field() is not None for _ in range(fields)) and field() else None
+
+
+def is_openssh_key(data: bytes) -> bool:
+    return _openssh_size(data) is not None
 
 
 def _is_key(data: bytes | None) -> bool:
@@ -151,7 +157,59 @@ def _is_signed_token(text: str) -> bool:
         return False
     if len(parts) == 5:  # encrypted form
         return isinstance(head.get("enc"), str)
-    return len(parts) == 3 and _json_object(parts[1]) is not None and (bool(parts[2]) or head["alg"] == "none")
+    if len(parts) != 3:
+        return False
+    if parts[2]:  # a signature may stand for any payload, also for one that is kept elsewhere
+        return (head.get("b64") is False or _decode64(parts[1]) is not None) and bool(_decode64(parts[2]))
+    return head["alg"] == "none" and _json_object(parts[1]) is not None
+
+
+def _der_size(data: bytes) -> int:
+    """How many bytes the DER value at the start of data takes by its header; 0 where there is no such header."""
+    if len(data) < 6 or data[0] != 0x30 or data[1] == 0x80 or data[1] > 0x84:
+        return 0
+    n = data[1] & 0x7F if data[1] > 0x80 else 0
+    return 2 + n + (int.from_bytes(data[2 : 2 + n], "big") if n else data[1])
+
+
+def _wrapped_end(text: str, m: re.Match) -> int | None:
+    """The end of the key that starts with the base64 line m and goes on over further lines; None where there is none."""
+    parts, at, n = [m[0]], m.end(), len(m[0])
+    size = 0
+    if m[0][0] == "M":
+        # The header says how long the key is, so no line after it is read.
+        if not (size := _der_size(_decode64(m[0][:8]) or b"")):
+            return None
+    while not parts[-1].endswith("=") and (not size or n < -(-size * 4 // 3)) and (more := _WRAPPED.match(text, at)):
+        parts.append(more[1])
+        at, n = more.end(), n + len(more[1])
+    if len(parts) == 1:
+        return None
+    if size:
+        return at if _is_key(_decode64("".join(parts))) else None
+    # Whole groups of four tell how far the container or the inner block goes; the key ends with the line that holds its last byte.
+    run = "".join(parts).rstrip("=")
+    data = _decode64(run[: len(run) - (len(run) % 4 == 1)]) or b""
+    if data.startswith(_OPENSSH):
+        size = _openssh_size(data) or 0
+    elif block := _PEM.search(data.decode("latin-1")):
+        size = block.end() if _pem_holds_key(block) else 0
+    if not size:
+        return None
+    at, n = m.end(), len(m[0])
+    while n < -(-size * 4 // 3) and (more := _WRAPPED.match(text, at)):
+        at, n = more.end(), n + len(more[1])
+    return at
+
+
+def _base64_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the private keys that stand as base64 without marks, on one line or wrapped."""
+    at = 0
+    while m := _BASE64.search(text, at):
+        end = m.end() if _is_key(_decode64(m[0])) else _wrapped_end(text, m)
+        if end is not None:
+            yield m.start(), end
+        at = end or m.end()
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
@@ -165,7 +223,7 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     spans += [("hex", *m.span()) for m in _HEX.finditer(text)]
     if "-----BEGIN " in text:
         spans += [("pem_key", *m.span()) for m in _PEM.finditer(text) if _pem_holds_key(m)]
-    spans += [("base64_key", *m.span()) for m in _BASE64.finditer(text) if _is_key(_decode64(m[0]))]
+    spans += [("base64_key", *span) for span in _base64_keys(text)]
     if "30" in text or "6f70656e" in text:
         spans += [("hex_key", *m.span()) for m in _HEX_DER.finditer(text) if len(m[0]) % 2 == 0 and _is_key(bytes.fromhex(m[0]))]
     if "ey" in text or "ew" in text:

@@ -109,6 +109,42 @@ def test_confirmed_kinds(text, kind):
     assert text not in secret_scan.redacted(around)
 
 
+def lines(x, width=64, end="\n"):
+    return end.join(x[i : i + width] for i in range(0, len(x), width))
+
+
+PEM = f"-----BEGIN RSA PRIVATE KEY-----\n{b64(RSA)}\n-----END RSA PRIVATE KEY-----"
+
+
+@pytest.mark.parametrize("before", ["session=", "https://a.example/?x=1&jwt=", "PRIVATE_KEY=", "MASTERKEY="])
+@pytest.mark.parametrize(("text", "kind"), [(TOKEN, "signed_token"), (b64(RSA), "base64_key"), (b64(SSH), "base64_key"), (lines(b64(PKCS8)), "base64_key")])
+def test_confirmed_kinds_after_an_equals_sign(before, text, kind):
+    around = f"see {before}{text} there"
+    assert (kind, 4 + len(before), 4 + len(before) + len(text)) in secret_scan.find_secrets(around)
+    assert secret_scan.redacted(around) == f"see {before}[{kind}] there"
+
+
+@pytest.mark.parametrize("key", [RSA, PKCS8, SSH, PEM.encode()])
+@pytest.mark.parametrize(("width", "end"), [(64, "\n"), (76, "\r\n"), (24, "\n  "), (64, "\\n")])
+@pytest.mark.parametrize("after", ["", " there", "\nthere it is", "\nMore"])
+def test_wrapped_keys_without_marks(key, width, end, after):
+    text = lines(b64(key), width, end)
+    assert ("base64_key", 4, 4 + len(text)) in secret_scan.find_secrets(f"see {text}{after}")
+
+
+def test_a_line_that_is_no_key_hides_none_below():
+    text = "MAAA" + "A" * 60 + "\n" + lines(b64(RSA))
+    assert ("base64_key", 65, len(text)) in secret_scan.find_secrets(text)
+    assert not [s for s in secret_scan.find_secrets(lines(b64(RSA[:-3]))) if s[0] == "base64_key"]
+
+
+@pytest.mark.parametrize("payload", ["", b64(b"plain text", True), b64(b"[1, 2]", True)])
+def test_signed_tokens_with_any_payload(payload):
+    head, _, signature = TOKEN.split(".")
+    token = f"{head}.{payload}.{signature}"
+    assert ("signed_token", 4, 4 + len(token)) in secret_scan.find_secrets(f"see {token} there")
+
+
 @pytest.mark.parametrize("text", [b64(RSA[:-3]), b64(RSA[:7] + b"\x7f" + RSA[8:]), b64(b"0\x82" + bytes(60)), TOKEN.replace("ey", "ex"), "ey" + "A" * 30 + ".b.c", "-----BEGIN PRIVATE KEY-----\nTUlJ\n-----END PRIVATE KEY-----", RSA.hex().upper()[:-2], "MIIB" + "A" * 60])
 def test_what_only_looks_like_a_secret(text):
     assert not [s for s in secret_scan.find_secrets(f"see {text} there") if s[0] not in secret_scan.BASE_KINDS]
