@@ -1,14 +1,17 @@
 """Main text of web pages by tag-path ratios.
 
-A page's text is cut into blocks, each with its tag path from the root. For each path the text length and the
-punctuation are summed over its blocks and divided by their number; the two ratios are smoothed over the page order, fused, and
-blocks whose fused ratio reaches a share of the page's mean point to content. The content node is the deepest container that
-holds nearly all text of those blocks, or the article or main element around it; its blocks, however short, are the result.
-Elements that declare another purpose (menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader
-comments) are left out before any ratio is taken and inside the content node.
+A page's text is cut into blocks, each with its path of tags and class names from the root. For each path the text length and the
+punctuation are summed over its blocks and divided by their number, with one expected block added (PRIORS), which steadies paths of few and short
+blocks. The two ratios are fused and smoothed over the page order, where a neighbour weighs by its distance and by the squared share of the path
+that both have in common. What a path declares (navigation, footers, comments, adverts) lowers its score by a factor and can't do more: such a path
+still wins where its ratios are high enough. Paths that reach a share of the page's best score select the content nodes. The element that holds nearly
+all of their text lends its score to the paths below it that declare no other purpose, so headings and short items of an article stay.
+
+Left out before any ratio is taken is what a browser doesn't show as text: scripts, styles, heads, hidden elements, controls of forms.
 
 Defined results: null or empty html gives the empty text; text after an unclosed comment, script or tag is lost, as in a browser;
-unclosed paragraphs end where the next block starts; repeated rows give a row each; an empty table gives none.
+unclosed paragraphs end where the next block starts; a page whose only text is declared to be something else and short has none; repeated rows give a
+row each; an empty table gives none; other columns are ignored. Time and memory grow with a page's length, however deep it is nested.
 """
 
 from __future__ import annotations
@@ -25,24 +28,34 @@ from pyspark.sql import functions as F
 
 from .common import ship
 
-#: Share of the mean fused ratio that points to content; share of that text that the content node holds.
-THRESHOLD, COVER = 0.5, 0.9
+#: Share of the best score that selects a path, and the least score that does.
+THRESHOLD, FLOOR = 0.4, 0.15
+#: Share of the selected text that the content element holds; share of its score that it lends.
+COVER, LENT = 0.9, 0.7
 #: Gaussian smoothing over the page order: standard deviation in blocks.
 SIGMA = 1.0
+#: Ratios at which text length and punctuation count half.
+HALF_TEXT, HALF_MARKS = 200.0, 3.0
+#: What linked characters count.
+LINKED = 0.25
+#: (characters, marks) of the expected block by what the path declares; what the declaration leaves of the score.
+PRIORS = {"main": (200.0, 4.0), "": (30.0, 0.5), "perhaps other": (10.0, 0.1), "other": (10.0, 0.1)}
+FACTORS = {"main": 1.0, "": 1.0, "perhaps other": 0.5, "other": 0.25}
 
 _words = lambda x: frozenset(x.split())
 BLOCKS = _words("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody tfoot thead tr ul")
-CONTAINERS = _words("html body article main section div td table tbody center blockquote")
+CONTAINERS = _words("article main section div form table tbody center blockquote")
 VOID = _words("area base br col embed hr img input link meta param source track wbr")
 SPACES = _words("br td th option img")
 RAW = _words("script style textarea title noscript template iframe noembed noframes svg math xmp")
-DROPPED = _words("nav footer aside form button select dialog menu head object canvas audio video label input datalist")
-DROPPED_ROLES = _words("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar")
-DROPPED_NAMES = _words(
-    "ad ads advert adverts advertisement advertising adsense banner banners sponsor sponsored promo promotion cookie cookies consent gdpr notice notices "
-    "popup modal overlay newsletter subscribe subscription paywall sidebar sidebars nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead "
-    "comment comments commentlist reply replies disqus respond share sharing social related recommended recommendations widget toolbar pagination pager"
+UNSEEN = _words("head select button object canvas audio video datalist")
+OTHER = _words("nav footer aside form dialog menu label")
+OTHER_ROLES = _words("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar")
+OTHER_NAMES = _words(
+    "advert adverts advertisement advertisements advertising adsense sponsored cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription paywall "
+    "sidebar sidebars nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead comment comments commentlist replies disqus respond pagination"
 )
+PERHAPS_NAMES = _words("ad ads banner banners sponsor promo promotion notice notices reply share sharing social related recommended recommendations widget toolbar pager")
 # Tags whose start ends an open element of these names.
 CLOSES = {"li": _words("li"), "dt": _words("dt dd"), "dd": _words("dt dd"), "tr": _words("tr td th"), "td": _words("td th"), "th": _words("td th"), "option": _words("option")}
 # An element does not reach out of these when it ends others.
@@ -54,151 +67,223 @@ _PUNCT = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 _NAME = re.compile(r"[a-z]+")
 
 
-class _Block:
-    __slots__ = ("chain", "links", "path", "raw", "text")
+class Block:
+    """A run of text: its path (a number; equal paths have equal ones), that path's depth and declared purpose, and its element."""
+
+    __slots__ = ("declared", "declares", "depth", "element", "linked", "meet", "path", "raw", "text")
 
-    def __init__(self, path: tuple, chain: tuple):
-        self.path, self.chain, self.raw, self.links, self.text = path, chain, [], 0, ""
+    def __init__(self, path: int, depth: int, declared: str, declares: int, element: int, meet: int):
+        self.path, self.depth, self.declared, self.element = path, depth, declared, element
+        self.declares = declares  # how many elements around it declare another purpose
+        self.meet = meet  # the depth of the deepest element that this block shares with the one before
+        self.raw, self.linked, self.text = [], 0, ""
 
 
-def _declares_other(tag: str, attrs: str, inside: bool) -> bool:
-    """Whether an element says that it isn't main text. inside: it stands in an article or main element."""
-    if tag in DROPPED or tag == "header" and not inside:
-        return True
-    if not attrs or tag in ("html", "body"):
-        return False
+def _declared(tag: str, attrs: str, inside: bool) -> tuple[str, tuple[str, ...]]:
+    """What an element says of its purpose ('unseen', 'other', 'perhaps other' or nothing) and its class names. inside: it stands in an article or main element."""
+    says, classes = "", ()
+    if tag in UNSEEN:
+        return "unseen", classes
+    if tag in OTHER or tag == "header" and not inside:
+        says = "other"
+    whole = tag in ("html", "body", "article", "main")
     for m in _ATTR.finditer(attrs):
         name, value = (m[1] or m[5]).lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if name == "role" and value in DROPPED_ROLES:
-            return True
-        if name in ("class", "id") and not DROPPED_NAMES.isdisjoint(_NAME.findall(value)):
-            return True
-    return False
-
-
-def _blocks(page: str) -> list[_Block]:
-    """The page's text blocks in order, without those in elements that declare another purpose."""
-    stack: list[tuple[str, int, bool]] = [("#root", 0, False)]  # tag, number, left out
-    blocks: list[_Block] = []
-    current: _Block | None = None
-    number = at = inside = 0
-
-    def text(raw: str) -> None:
-        nonlocal current
-        if stack[-1][2] or not raw:
+            if tag not in ("html", "body"):
+                return "unseen", classes
+        elif name == "role" and value in OTHER_ROLES and not whole:
+            says = "other"
+        elif name in ("class", "id"):
+            names = value.split()
+            classes = (*classes, *sorted(names)) if name == "class" else classes
+            for n in () if whole else names:
+                # A name speaks if all its words do: cookie-notice, but not has-sidebar.
+                parts = _NAME.findall(n)
+                if parts and all(p in OTHER_NAMES or p in PERHAPS_NAMES for p in parts):
+                    says = "other" if says == "other" or not OTHER_NAMES.isdisjoint(parts) else "perhaps other"
+    return says, classes
+
+
+_RANK = {"": 0, "main": 1, "perhaps other": 2, "other": 3, "unseen": 4}
+
+
+class Page:
+    """A page's blocks in order, and its block elements as (tag, number of the parent, depth, how many declare another purpose up to it)."""
+
+    def __init__(self, page: str):
+        self.elements: list[tuple[str, int, int, int]] = [("#root", -1, 0, 0)]
+        self.paths: dict[tuple, int] = {}
+        self.blocks: list[Block] = []
+        # tag, path, declared, how many declare, the innermost block element's number and depth
+        self.stack: list[tuple[str, int, str, int, int, int]] = [("#root", 0, "", 0, 0, 0)]
+        self.opened: dict[str, list[int]] = defaultdict(list)  # where in the stack the elements of a tag stand
+        self.current: Block | None = None
+        self.low = 0  # the least depth since the last block
+        self._read(page)
+        for b in self.blocks:
+            b.text = " ".join(html.unescape("".join(b.raw)).split())
+            b.raw = [len("".join(b.raw))]
+        kept, low = [], math.inf
+        for b in self.blocks:
+            low = min(low, b.meet)
+            if b.text:
+                b.meet, low = low, math.inf
+                kept.append(b)
+        self.blocks = kept
+
+    def _text(self, raw: str) -> None:
+        _, path, declared, declares, element, depth = self.stack[-1]
+        if declared == "unseen" or not raw:
             return
-        if current is None:
-            own = [(t, n) for t, n, _ in stack if t in BLOCKS]
-            current = _Block(tuple(t for t, _ in own), tuple(own))
-            blocks.append(current)
-        current.raw.append(raw)
-        if any(t == "a" for t, _, _ in stack[-3:]):
-            current.links += len(raw)
-
-    def pop() -> str:
-        nonlocal inside, current
-        tag, _, _ = stack.pop()
-        inside -= tag in ("article", "main")
+        if self.current is None:
+            self.current = Block(path, depth, declared, declares, element, min(self.low, depth))
+            self.low = depth
+            self.blocks.append(self.current)
+        self.current.raw.append(raw)
+        if self.opened["a"]:
+            self.current.linked += len(raw)
+
+    def _push(self, tag: str, attrs: str) -> None:
+        _, path, above, declares, element, depth = self.stack[-1]
+        says, classes = _declared(tag, attrs, bool(self.opened["article"] or self.opened["main"]))
+        declares += bool(says)
+        if tag in ("article", "main") and not says:
+            says = "main"
         if tag in BLOCKS:
-            current = None
-        return tag
+            path = self.paths.setdefault((path, tag, classes), len(self.paths) + 1)
+            self.elements.append((tag, element, depth + 1, declares))
+            element, depth = len(self.elements) - 1, depth + 1
+        self.opened[tag].append(len(self.stack))
+        self.stack.append((tag, path, max(above, says, key=_RANK.__getitem__), declares, element, depth))
 
-    def end(names: frozenset[str], barriers: frozenset[str]) -> None:
+    def _pop(self) -> None:
+        tag = self.stack.pop()[0]
+        self.opened[tag].pop()
+        if tag in BLOCKS:
+            self.current = None
+            self.low = min(self.low, self.stack[-1][5])
+
+    def _end(self, names: frozenset[str], barriers: frozenset[str]) -> None:
         """Close up to the nearest open element of these names, unless a barrier stands before it."""
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in names:
-                while len(stack) > k:
-                    pop()
+        at = max((self.opened[n][-1] for n in names if self.opened[n]), default=0)
+        if at and at >= max((self.opened[n][-1] for n in barriers if self.opened[n]), default=0):
+            while len(self.stack) > at:
+                self._pop()
+
+    def _read(self, page: str) -> None:
+        at = 0
+        while at < len(page):
+            m = _TOKEN.search(page, at)
+            if m is None:
+                self._text(page[at:])
                 return
-            if stack[k][0] in barriers:
+            if m.start() > at:
+                self._text(page[at : m.start()])
+            at = m.end()
+            if not m[2]:
+                continue
+            if not m[4]:  # the page ends within a tag
                 return
-
-    while at < len(page):
-        m = _TOKEN.search(page, at)
-        if m is None:
-            text(page[at:])
-            break
-        if m.start() > at:
-            text(page[at : m.start()])
-        at = m.end()
-        if not m[2]:
-            continue
-        if not m[4]:  # the page ends within a tag
-            break
-        tag = m[2].lower()
-        if m[1]:
+            tag = m[2].lower()
+            if m[1]:
+                if tag in SPACES:
+                    self._text(" ")
+                self._end(frozenset((tag,)), frozenset() if tag in BLOCKS else BARRIERS)
+                continue
+            if tag in BLOCKS:
+                self._end(frozenset(("p",)), BARRIERS)
+                self.current = None
+            if tag in CLOSES:
+                self._end(CLOSES[tag], BARRIERS - CLOSES[tag])
+            if tag in RAW:
+                close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+                at = close.end() if close else len(page)
+                continue
             if tag in SPACES:
-                text(" ")
-            end(frozenset((tag,)), frozenset() if tag in BLOCKS else BARRIERS)
-            continue
-        if tag in BLOCKS:
-            end(frozenset(("p",)), BARRIERS)
-            current = None
-        if tag in CLOSES:
-            end(CLOSES[tag], BARRIERS - CLOSES[tag])
-        if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else len(page)
-            continue
-        if tag in SPACES:
-            text(" ")
-        if tag in VOID or m[3].endswith("/") and tag not in BLOCKS:
-            continue
-        number += 1
-        stack.append((tag, number, stack[-1][2] or _declares_other(tag, m[3], bool(inside))))
-        inside += tag in ("article", "main")
+                self._text(" ")
+            if tag in VOID or m[3].endswith("/") and tag not in BLOCKS:
+                continue
+            self._push(tag, m[3])
+
+
+def path_ratios(blocks: list[Block]) -> dict[int, float]:
+    """The fused ratio of each path: the geometric mean of its text and punctuation ratios, each as a share of the page's greatest."""
+    text, marks, count, declared = defaultdict(float), defaultdict(float), defaultdict(int), {}
     for b in blocks:
-        b.text = " ".join(html.unescape("".join(b.raw)).split())
-    return [b for b in blocks if b.text]
+        # White space and references make the raw length differ; the linked share is what counts.
+        share = 1 - (1 - LINKED) * min(1.0, b.linked / max(b.raw[0], 1))
+        text[b.path] += len(b.text) * share
+        marks[b.path] += len(_PUNCT.findall(b.text)) * share
+        count[b.path] += 1
+        declared[b.path] = max(declared.get(b.path, ""), b.declared, key=_RANK.__getitem__)
+    per_text = {p: (text[p] + PRIORS[declared[p]][0]) / (count[p] + 1) for p in count}
+    per_mark = {p: (marks[p] + PRIORS[declared[p]][1]) / (count[p] + 1) for p in count}
+    half = lambda x, h: x / (x + h)
+    best_text = half(max(*per_text.values(), PRIORS[""][0] / 2), HALF_TEXT)
+    best_marks = half(max(*per_mark.values(), PRIORS[""][1] / 2), HALF_MARKS)
+    return {p: math.sqrt(half(per_text[p], HALF_TEXT) / best_text * half(per_mark[p], HALF_MARKS) / best_marks) for p in count}
 
 
-def _smoothed(values: list[float]) -> list[float]:
+def block_scores(blocks: list[Block]) -> list[float]:
+    """The smoothed ratio of each block's path, lowered by what the path declares."""
+    ratios = path_ratios(blocks)
     reach = math.ceil(2 * SIGMA)
-    weights = [math.exp(-(d * d) / (2 * SIGMA * SIGMA)) for d in range(-reach, reach + 1)]
     out = []
-    for i in range(len(values)):
-        near = [(w, values[i + d]) for w, d in zip(weights, range(-reach, reach + 1), strict=True) if 0 <= i + d < len(values)]
-        out.append(sum(w * v for w, v in near) / sum(w for w, _ in near))
+    for i, b in enumerate(blocks):
+        total, weight = ratios[b.path], 1.0
+        for step in (-1, 1):
+            meet = math.inf
+            for d in range(1, reach + 1):
+                j = i + step * d
+                if not 0 <= j < len(blocks):
+                    break
+                other = blocks[j]
+                meet = min(meet, (b if d == 1 else blocks[j + 1]).meet if step < 0 else other.meet)
+                alike = 1.0 if other.path == b.path else (meet / max(b.depth, other.depth, 1)) ** 2
+                w = math.exp(-(d * d) / (2 * SIGMA * SIGMA)) * alike
+                total, weight = total + w * ratios[other.path], weight + w
+        out.append(total / weight * FACTORS[b.declared])
     return out
 
 
-def _is_menu(b: _Block) -> bool:
-    return b.links > 0.8 * sum(map(len, b.raw)) and b.path[-1] in ("li", "ul", "ol", "div", "td")
+def _content_element(page: Page, selected: list[bool]) -> int:
+    """The deepest container that holds COVER of the selected text, or the article or main element around it; the root if there is none."""
+    held = [0] * len(page.elements)
+    for b, s in zip(page.blocks, selected, strict=True):
+        held[b.element] += s * len(b.text)
+    for i in range(len(held) - 1, 0, -1):  # parents come before their children
+        held[page.elements[i][1]] += held[i]
+    holding = [i for i, (tag, *_) in enumerate(page.elements) if tag in CONTAINERS and held[i] >= COVER * held[0] > 0]
+    found = max(holding, key=lambda i: page.elements[i][2], default=0)
+    i = found
+    while i > 0 and page.elements[i][0] not in ("article", "main"):
+        i = page.elements[i][1]
+    return i if i > 0 else found
 
 
-def extract_text(page: str | None) -> str:
-    """The main text of a page: its blocks, joined by empty lines."""
-    blocks = _blocks(page or "")
+def extract_text(html_text: str | None) -> str:
+    """The main text of a page: its selected blocks, joined by empty lines."""
+    page = Page(html_text or "")
+    blocks = page.blocks
     if not blocks:
         return ""
-    length: dict = defaultdict(int)
-    punct: dict = defaultdict(int)
-    count: dict = defaultdict(int)
-    for b in blocks:
-        length[b.path] += len(b.text)
-        punct[b.path] += len(_PUNCT.findall(b.text))
-        count[b.path] += 1
-    texts = _smoothed([length[b.path] / count[b.path] for b in blocks])
-    marks = _smoothed([punct[b.path] / count[b.path] for b in blocks])
-    most_text, most_marks = max(texts), max(marks)
-    fused = [math.sqrt(t / most_text * (p / most_marks if most_marks else 1)) for t, p in zip(texts, marks, strict=True)]
-    bar = THRESHOLD * sum(fused) / len(fused)
-    content = [b for b, f in zip(blocks, fused, strict=True) if f >= bar]
-    total, weight, depth = sum(len(b.text) for b in content), defaultdict(int), {}
-    for b in content:
-        for d, e in enumerate(b.chain):
-            weight[e] += len(b.text)
-            depth[e] = d
-    holding = [e for e in weight if e[0] in CONTAINERS and weight[e] >= COVER * total]
-    if not holding:
-        return "\n\n".join(b.text for b in blocks)
-    node = max(holding, key=depth.get)
-    chain = next(b.chain for b in content if node in b.chain)
-    above = [e for e in chain[: chain.index(node) + 1] if e[0] in ("article", "main")]
-    node = above[-1] if above else node
-    return "\n\n".join(b.text for b in blocks if node in b.chain and (node[0] == "article" or not _is_menu(b)))
+    scores = block_scores(blocks)
+    bar = max(THRESHOLD * max(scores), FLOOR)
+    selected = [s >= bar for s in scores]
+    content = _content_element(page, selected)
+    if content:
+        inside = [False] * len(page.elements)
+        for i, (_, above, *_) in enumerate(page.elements):
+            inside[i] = i == content or above > 0 and inside[above]
+        weight = [len(b.text) * (s and inside[b.element]) for b, s in zip(blocks, selected, strict=True)]
+        lent = LENT * sum(w * s for w, s in zip(weight, scores, strict=True)) / sum(weight)
+        main, declares = page.elements[content][0] in ("article", "main"), page.elements[content][3]
+        for k, b in enumerate(blocks):
+            menu = not main and b.linked > 0.8 * b.raw[0] and page.elements[b.element][0] != "p"
+            if inside[b.element] and b.declares == declares and not menu:
+                scores[k] = max(scores[k], lent)
+    return "\n\n".join(b.text for b, s in zip(blocks, scores, strict=True) if s >= bar)
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

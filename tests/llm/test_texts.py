@@ -2,8 +2,11 @@
 
 import base64
 import hashlib
+import itertools
 import json
+import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -201,6 +204,79 @@ def test_pages_without_an_article_element():
     assert got.startswith("Head\n\nSentence number 0") and "Menu" not in got and "Imprint" not in got
 
 
+BODY = "".join(f"<p>Sentence number {i}, which is long enough, has commas, and ends.</p>" for i in range(6))
+PLAIN = f"<body><div><span>Start</span></div><div><span>Latest</span></div><div><section><h1>Head</h1>{BODY}<ul><li>One</li></ul></section></div><div><i>Imprint</i></div></body>"
+
+
+def test_path_ratios_select_the_blocks(monkeypatch):
+    got = html_extract.extract_text(PLAIN)
+    assert got.startswith("Head\n\nSentence number 0") and got.endswith("One") and "Latest" not in got and "Imprint" not in got
+    assert "by an advert" not in html_extract.extract_text(f"<body><div class=ad>Paid by an advert.</div><article><h1>Head</h1>{BODY}</article></body>")
+    # Without the ratios nothing tells these pages' blocks apart.
+    monkeypatch.setattr(html_extract, "path_ratios", lambda blocks: {b.path: 1.0 for b in blocks})
+    got = html_extract.extract_text(PLAIN)
+    assert "Latest" in got and "Imprint" in got
+    assert "by an advert" in html_extract.extract_text(f"<body><div class=ad>Paid by an advert.</div><article><h1>Head</h1>{BODY}</article></body>")
+
+
+@pytest.mark.parametrize("start", ['<article class="post has-sidebar">', '<article class="notice">', '<div id="content-widget">', '<div id="sidebar">', '<form id=main>'])
+def test_names_of_the_whole_take_nothing_away(start):
+    tag = start[1:].split()[0]
+    assert html_extract.extract_text(f"<body><nav><a href=/>Home</a></nav>{start}<h1>Head</h1>{BODY}</{tag}></body>").startswith("Head\n\nSentence number 0")
+
+
+def brute_scores(page):
+    """Scores from whole tuples of tags and class names, by their definition."""
+    x, names = html_extract, {0: ()}
+    for (above, tag, classes), i in page.paths.items():
+        names[i] = (*names[above], (tag, classes))
+    chains = []
+    for b in page.blocks:
+        chain, e = [], b.element
+        while e > 0:
+            chain.append(e)
+            e = page.elements[e][1]
+        chains.append(chain[::-1])
+    paths = [names[b.path] for b in page.blocks]
+    half = lambda v, h: v / (v + h)
+    text, marks = {}, {}
+    for p in set(paths):
+        own = [(b, 1 - 0.75 * min(1, b.linked / max(b.raw[0], 1))) for b, q in zip(page.blocks, paths, strict=True) if q == p]
+        prior = x.PRIORS[max((b.declared for b, _ in own), key=["", "main", "perhaps other", "other"].index)]
+        text[p] = (sum(len(b.text) * s for b, s in own) + prior[0]) / (len(own) + 1)
+        marks[p] = (sum(sum(c in ".,;:!?" for c in b.text) * s for b, s in own) + prior[1]) / (len(own) + 1)
+    top_text, top_marks = half(max(15, *text.values()), 200), half(max(0.25, *marks.values()), 3)
+    fused = [(half(text[p], 200) / top_text * half(marks[p], 3) / top_marks) ** 0.5 for p in paths]
+    out = []
+    for i, b in enumerate(page.blocks):
+        pairs = []
+        for j in range(max(0, i - 2), min(len(paths), i + 3)):
+            shared = sum(1 for _ in itertools.takewhile(lambda t: t[0] == t[1], zip(chains[i], chains[j], strict=False)))
+            alike = 1 if paths[i] == paths[j] else (shared / max(len(chains[i]), len(chains[j]), 1)) ** 2
+            pairs.append((math.exp(-((i - j) ** 2) / 2) * alike, fused[j]))
+        out.append(sum(w * v for w, v in pairs) / sum(w for w, _ in pairs) * {"": 1, "main": 1, "perhaps other": 0.5, "other": 0.25}[b.declared])
+    return out
+
+
+PARTS = ["<div>", "</div>", "<p>", "</p>", "<ul>", "<li>", "</ul>", "<article>", "</article>", "<section class=a>", "</section>", "<nav>", "</nav>", '<div class="ad b">', "<a href=x>", "</a>", "Some words, and more.", "x", "A longer sentence; it has marks: three, or four!"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=30).map("".join))
+def test_scores_are_those_of_the_definition(text):
+    page = html_extract.Page(text)
+    assert [b.text for b in page.blocks if not b.text] == []
+    if page.blocks:
+        assert html_extract.block_scores(page.blocks) == pytest.approx(brute_scores(page))
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 20_000, "<div>" * 20_000 + "</section>" * 20_000 + "x", "<p><i>" + "<span>" * 20_000 + "</i></p>" * 20_000 + "x"])
+def test_deep_pages_take_no_time(page):
+    began = time.monotonic()
+    assert html_extract.extract_text(page).endswith("x")
+    assert time.monotonic() - began < 3
+
+
 def test_extraction_rows(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (2, None, None, "x")], "page_id long, url string, html string, text string")
     got = {r.page_id: r for r in html_extract.extract_pages(pages).collect()}
