@@ -39,10 +39,29 @@ def snapped_hour(ms: Column, zone: str = "UTC") -> Column:
     return F.date_trunc("hour", in_zone(ms, zone)).cast("timestamp_ntz")
 
 
-def human(seconds: Column) -> Column:
-    """A length of time in its largest fitting unit."""
-    unit = lambda n, name: F.concat(F.format_string("%.1f", F.round(seconds / n, 1)), F.lit(f" {name}"))
-    return F.when(seconds >= 86400, unit(86400, "days")).when(seconds >= 3600, unit(3600, "hours")).when(seconds >= 60, unit(60, "minutes")).otherwise(unit(1, "seconds"))
+def clock_name(at: Column) -> Column:
+    """A time of day as people write it: noon, midnight, 3pm, 3:04pm, 3:04:05pm, with a fraction of a second where there is one."""
+    half = F.lower(F.date_format(at, "a"))
+    fraction = F.rtrim(F.date_format(at, "SSSSSS"), F.lit("0"))
+    return (
+        F.when(fraction != "", F.concat(F.date_format(at, "h:mm:ss"), F.lit("."), fraction, half))
+        .when(F.second(at) != 0, F.concat(F.date_format(at, "h:mm:ss"), half))
+        .when(F.minute(at) != 0, F.concat(F.date_format(at, "h:mm"), half))
+        .when(F.hour(at) == 0, "midnight").when(F.hour(at) == 12, "noon")
+        .otherwise(F.concat(F.date_format(at, "h"), half))
+    )
+
+
+def human(now: Column, at: Column) -> Column:
+    """A later time in UTC as seen from now: its clock time today, tomorrow, on a weekday within a week, else with its date.
+
+    Midnight belongs to the day that it ends. A time that isn't later is given in full.
+    """
+    clock, fraction = clock_name(at), F.rtrim(F.date_format(at, "SSSSSS"), F.lit("0"))
+    days = F.date_diff(F.to_date(at), F.to_date(now)) - F.when(clock == "midnight", 1).otherwise(0)
+    full = F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.when(fraction != "", F.concat(F.lit("."), fraction)).otherwise(""), F.lit("Z"))
+    on = lambda day: F.concat(day, F.lit(" at "), clock)
+    return F.when(at <= now, full).when(days <= 0, clock).when(days == 1, on(F.lit("tomorrow"))).when(days < 7, on(F.date_format(at, "EEEE"))).otherwise(on(F.date_format(at, "yyyy-MM-dd")))
 
 
 def name_to_time(name: Column) -> Column:

@@ -2,63 +2,96 @@
 
 A vehicle's state is (first report, last differing tags, count, sum of times). A report merges while it is within 2 s of the first one and
 has its position and heading; a change of route or direction during a merge is remembered. An older report is dropped. Anything else
-emits the merged row, at the mean time, and one more at a millisecond later with the changed tags, and starts anew.
+emits the merged row, at the mean time, and one more at a millisecond later with the changed tags, and starts anew. Missing tags
+and headings equal each other. Batch and stream share step() and merged_rows().
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MERGE_MS = 2000
-_ROW = "struct<unix_ms:bigint,route_tag:string,dir_tag:string,heading:int,lat:double,lon:double>"
-_STATE = f"struct<first:{_ROW},last:{_ROW},n:int,total:bigint,out:array<{_ROW}>,dropped:int>"
 _FIELDS = ("unix_ms", "route_tag", "dir_tag", "heading", "lat", "lon")
+_OUT = "unix_ms long, route_tag string, dir_tag string, heading int, lat double, lon double, dropped long"
 
 
-def _with_time(row: Column, ms: Column) -> Column:
-    return F.struct(ms.cast("long").alias("unix_ms"), *(row[k].alias(k) for k in _FIELDS[1:]))
-
+def merged_rows(vehicle, s: tuple) -> list[tuple]:
+    """What a state emits: the merged row at its mean time, and its changed tags a millisecond later."""
+    first_ms, route, direction, heading, lat, lon, last_route, last_dir, n, total = s
+    ms = (2 * total + n) // (2 * n)  # floor of the mean plus a half
+    rows = [(vehicle, ms, route, direction, heading, lat, lon)]
+    return rows if last_route is None and last_dir is None else [*rows, (vehicle, ms + 1, last_route, last_dir, heading, lat, lon)]
 
-def _emitted(s: Column) -> Column:
-    """The output with what the state would emit."""
-    mean = F.floor(s["total"] / s["n"] + 0.5).cast("long")
-    one = F.array(_with_time(s["first"], mean))
-    two = F.array(_with_time(s["first"], mean), _with_time(s["last"], mean + 1))
-    return F.when(s["n"] == 0, s["out"]).when(s["last"].isNull(), F.concat(s["out"], one)).otherwise(F.concat(s["out"], two))
 
-
-def _step(s: Column, r: Column, same_tags: bool) -> Column:
-    first = s["first"]
-    make = lambda first, last, n, total, out, dropped: F.struct(first.alias("first"), last.alias("last"), n.cast("int").alias("n"), total.alias("total"), out.alias("out"), dropped.alias("dropped"))
-    same_place = (first["lat"] == r["lat"]) & (first["lon"] == r["lon"]) & (first["heading"] == r["heading"])
-    merges = same_place & (F.abs(first["unix_ms"] - r["unix_ms"]) <= MERGE_MS)
-    changed = (first["route_tag"] != r["route_tag"]) | (first["dir_tag"] != r["dir_tag"])
-    merges = merges & ~changed if same_tags else merges
-    none = F.lit(None).cast(_ROW)
-    return (
-        F.when(s["n"] == 0, make(r, none, F.lit(1), r["unix_ms"], s["out"], s["dropped"]))
-        .when(merges, make(first, F.when(changed, r).otherwise(none), s["n"] + 1, s["total"] + r["unix_ms"], s["out"], s["dropped"]))
-        .when(first["unix_ms"] > r["unix_ms"], make(first, s["last"], s["n"], s["total"], s["out"], s["dropped"] + 1))
-        .otherwise(make(r, none, F.lit(1), r["unix_ms"], _emitted(s), s["dropped"]))
-    )
+def step(s: tuple | None, r: tuple, same_tags: bool = False) -> tuple[tuple, tuple | None]:
+    """(new state, state to emit or None) for a report (ms, route, direction, heading, lat, lon)."""
+    ms, route, direction, heading, lat, lon = r
+    if s is not None:
+        changed = (route, direction) != (s[1], s[2])
+        if (s[3], s[4], s[5]) == (heading, lat, lon) and abs(s[0] - ms) <= MERGE_MS and not (same_tags and changed):
+            return (*s[:6], route if changed else None, direction if changed else None, s[8] + 1, s[9] + ms), None
+        if s[0] > ms:
+            return s, None  # an older report is dropped
+    return (ms, route, direction, heading, lat, lon, None, None, 1, ms), s
 
 
 def merge_reports(df: DataFrame, arrival: str, vehicle: str = "vehicle_id", slice_ms: int | None = None, same_tags: bool = False) -> DataFrame:
-    """vehicle, unix_ms, route_tag, dir_tag, heading, lat, lon, dropped: the merged rows of each vehicle in order of arrival.
+    """vehicle, unix_ms, route_tag, dir_tag, heading, lat, lon, dropped: the merged rows of each vehicle; dropped counts the vehicle's older reports.
 
-    A vehicle's reports fold in one array; with slice_ms a vehicle's day or hour is a fold of its own, which bounds the array at
-    the price of a merge across the border of two slices. same_tags is the earlier rule: only reports of the same route and direction merge.
+    Rows stream through their task in order of vehicle and arrival, so one state is all that is held, however many reports a vehicle has.
+    With slice_ms a vehicle's day or hour is walked by itself, which spreads a busy vehicle over tasks at the price of a merge across the
+    border of two slices. same_tags is the earlier rule: only reports of the same route and direction merge.
     """
-    keys = [F.col(vehicle), *([F.floor(F.col("unix_ms") / slice_ms).alias("_slice")] if slice_ms else [])]
-    rows = df.select(*keys, F.struct(F.col(arrival).alias("_a"), F.struct(*(F.col(k) for k in _FIELDS)).cast(_ROW).alias("_r")).alias("_x"))
-    group = [vehicle, "_slice"] if slice_ms else [vehicle]
-    ordered = rows.groupBy(*group).agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
-    start = F.from_json(F.lit('{"n":0,"total":0,"out":[],"dropped":0}'), _STATE)
-    end = F.aggregate(F.transform("_xs", lambda x: x["_r"]), start, lambda s, r: _step(s, r, same_tags))
-    done = ordered.select(vehicle, end.alias("_s"))
-    out = done.select(vehicle, _emitted(F.col("_s")).alias("_out"), F.col("_s.dropped").alias("dropped"))
-    return out.select(vehicle, F.explode("_out").alias("_o"), "dropped").select(vehicle, "_o.*", "dropped")
+    part = F.floor(F.col("unix_ms") / slice_ms) if slice_ms else F.lit(0).cast("long")
+    rows = df.select(F.col(vehicle).alias("_v"), part.alias("_slice"), F.col(arrival).alias("_a"), F.col("unix_ms").cast("long").alias("unix_ms"), "route_tag", "dir_tag", F.col("heading").cast("int").alias("heading"), F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
+    kind = rows.schema["_v"].dataType.simpleString()
+    rows = rows.repartition("_v", "_slice").sortWithinPartitions("_v", "_slice", "_a", *_FIELDS).drop("_a")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = state = schema = None
+        dropped, out = 0, []
+
+        def emit(s: tuple, gone: int) -> None:
+            # A row's drops are those since the last one of its walk.
+            for k, row in enumerate(merged_rows(key[0], s)):
+                out.append((key[0], key[1], *row[1:], 0 if k else gone))
+
+        def flush() -> pa.RecordBatch:
+            columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        names = ["_v", "_slice", *_FIELDS, "dropped"]
+        types: list[pa.DataType] = []
+        for b in batches:
+            if schema is None:
+                schema = b.schema
+                types = [schema.field(0).type, pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.int64()]
+            for v, part, *r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if key != (v, part):
+                    if state is not None:
+                        emit(state, dropped)
+                    key, state, dropped = (v, part), None, 0
+                before = state
+                state, done = step(state, tuple(r), same_tags)
+                if done is not None:
+                    emit(done, dropped)
+                    dropped = 0
+                elif state is before:
+                    dropped += 1
+            if out:
+                yield flush()
+        if state is not None:
+            emit(state, dropped)
+            yield flush()
+
+    merged = rows.mapInArrow(walk, f"_v {kind}, _slice long, {_OUT}")
+    dropped = F.sum("dropped").over(Window.partitionBy("_v", "_slice"))
+    return merged.withColumn("dropped", dropped).select(F.col("_v").alias(vehicle), *_FIELDS, "dropped")
 
 
 def latest(df: DataFrame, key: str, order: list[str]) -> DataFrame:

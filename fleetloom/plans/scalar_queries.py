@@ -328,9 +328,23 @@ def t02(spark: SparkSession, d: str) -> DataFrame:
     return vehicle_reports(spark, d).select("event_id", day.cast("string").alias("midnight"), F.date_add(day, 1).cast("string").alias("next_midnight"), F.date_format(when.snapped_hour(c("unix_ms")), "yyyy-MM-dd HH:mm:ss").alias("snapped"))
 
 
-@query("t03_human_time", "SELECT event_id, CASE WHEN s >= 86400 THEN printf('%.1f days', round(s / 86400, 1)) WHEN s >= 3600 THEN printf('%.1f hours', round(s / 3600, 1)) WHEN s >= 60 THEN printf('%.1f minutes', round(s / 60, 1)) ELSE printf('%.1f seconds', s) END AS human FROM (SELECT event_id, (event_id * 37 % 200003) / 1e0 AS s FROM events)")
+# Later times by steps that hit midnights, full hours, minutes, seconds and fractions over ten days, and earlier ones.
+_LATER = "CASE event_id % 5 WHEN 0 THEN (unix_ms // 86400000 + event_id % 9) * 86400000 WHEN 1 THEN (unix_ms // 3600000 + event_id % 200) * 3600000 WHEN 2 THEN (unix_ms // 60000 + event_id * 37 % 14400) * 60000 WHEN 3 THEN (unix_ms // 1000 + event_id * 7919 % 864000) * 1000 ELSE unix_ms + event_id * 104729 % 864000000 - 1000 END"
+
+
+@query(
+    "t03_human_time",
+    over_views(
+        """SELECT event_id, CASE WHEN later <= now THEN full_time WHEN days <= 0 THEN clock WHEN days = 1 THEN 'tomorrow at ' || clock WHEN days < 7 THEN dayname(later) || ' at ' || clock ELSE strftime(later, '%Y-%m-%d') || ' at ' || clock END AS human
+        FROM (SELECT *, date_diff('day', CAST(now AS DATE), CAST(later AS DATE)) - CASE WHEN clock = 'midnight' THEN 1 ELSE 0 END AS days, strftime(later, '%Y-%m-%dT%H:%M:%S') || CASE WHEN frac <> '' THEN '.' || frac ELSE '' END || 'Z' AS full_time FROM w)""",
+        f"u AS (SELECT event_id, make_timestamp(unix_ms * 1000) AS now, make_timestamp(({_LATER}) * 1000) AS later FROM vehicle_reports)",
+        "v AS (SELECT *, rtrim(strftime(later, '%g'), '0') AS frac, lower(strftime(later, '%p')) AS half, strftime(later, '%-I') AS h, strftime(later, '%M') AS m, strftime(later, '%S') AS s FROM u)",
+        "w AS (SELECT *, CASE WHEN frac <> '' THEN h || ':' || m || ':' || s || '.' || frac || half WHEN s <> '00' THEN h || ':' || m || ':' || s || half WHEN m <> '00' THEN h || ':' || m || half WHEN hour(later) = 0 THEN 'midnight' WHEN hour(later) = 12 THEN 'noon' ELSE h || half END AS clock FROM v)",
+    ),
+)
 def t03(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").select("event_id", when.human((c("event_id") * 37 % 200003).cast("double")).alias("human"))
+    r = vehicle_reports(spark, d).select("event_id", "unix_ms", F.expr(_LATER.replace("//", "DIV")).alias("later_ms"))
+    return r.select("event_id", when.human(when.ms_to_utc(c("unix_ms")), when.ms_to_utc(c("later_ms"))).alias("human"))
 
 
 @query("t04_convert_zone", over_views("SELECT event_id, strftime(timezone('America/New_York', timezone('UTC', make_timestamp(unix_ms * 1000))), '%Y%m%d %H%M%S') AS local_time FROM vehicle_reports"))

@@ -32,7 +32,7 @@ def parse(raw: DataFrame, latest_ms: int | None = None, keep: list[str] | None =
     fields = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in raw.columns else F.lit(False)
     error = (
         F.when(fields, "fields")
-        .when(ms.isNull() | (ms < EARLIEST_MS) | (ms >= late), "time")
+        .when(ms.isNull() | (ms < EARLIEST_MS) | (ms > late), "time")
         .when(~F.coalesce(geo.latitude_valid(lat) & geo.longitude_valid(lon), F.lit(False)), "location")
     )
     heading = F.coalesce(geo.heading_or_invalid(F.col("heading").try_cast("int")), F.lit(-1))
@@ -50,11 +50,12 @@ def to_fields(df: DataFrame, zone: str = "UTC") -> DataFrame:
 
 
 def write_days(df: DataFrame, path: str, zone: str = "UTC", mode: str = "overwrite") -> None:
-    """Gzipped CSV under year=, month= and day=; a row exactly at midnight stays in the old day. With mode overwrite only days in df are replaced."""
-    day = when.archive_day(F.col("unix_ms"), zone)
+    """Gzipped CSV under year=, month= and day=; a row exactly at midnight stays in the old day. Files hold ranges of time, so a
+    full day is several tasks' work and files in the order of their names are in order of time. With mode overwrite only days in df are replaced."""
+    day, ms = when.archive_day(F.col("unix_ms"), zone), F.col("unix_ms").cast("long")
     parts = df.withColumns({"year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day)})
     out = parts.select(
         F.col("unix_ms").cast("string").alias(COLUMNS[0]), when.stamp(F.col("unix_ms"), zone).alias(COLUMNS[1]), "vehicle_id", "route_tag", "dir_tag", F.col("heading").cast("string").alias("heading"),
         F.col("lat").cast("string").alias("latitude"), F.col("lon").cast("string").alias("longitude"), "year", "month", "day",
     )
-    out.repartition("year", "month", "day").sortWithinPartitions("year", "month", "day", F.col("unix_ms").cast("long")).write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "gzip").partitionBy("year", "month", "day").csv(path)
+    out.repartitionByRange("year", "month", "day", ms).sortWithinPartitions("year", "month", "day", ms).write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "gzip").partitionBy("year", "month", "day").csv(path)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import when
-from ..operators.merge import MERGE_MS
+from ..operators.merge import merged_rows, step
 
 GRACE_MS = 6_000
 _TAGS = "route_tag string, dir_tag string"
@@ -25,26 +25,6 @@ OUTPUT = "vehicle_id string, unix_ms long, route_tag string, dir_tag string, hea
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def merged_rows(vehicle: str, s: tuple) -> list[tuple]:
-    """What a state emits: the merged row at its mean time, and its changed tags a millisecond later."""
-    first_ms, route, direction, heading, lat, lon, last_route, last_dir, n, total = s
-    ms = (2 * total + n) // (2 * n)  # floor of the mean plus a half
-    rows = [(vehicle, ms, route, direction, heading, lat, lon)]
-    return rows if last_dir is None else [*rows, (vehicle, ms + 1, last_route, last_dir, heading, lat, lon)]
-
-
-def step(s: tuple | None, r: tuple) -> tuple[tuple, tuple | None]:
-    """(new state, state to emit or None) for a report (ms, route, direction, heading, lat, lon)."""
-    ms, route, direction, heading, lat, lon = r
-    if s is not None:
-        if (s[3], s[4], s[5]) == (heading, lat, lon) and abs(s[0] - ms) <= MERGE_MS:
-            changed = (route, direction) != (s[1], s[2])
-            return (*s[:6], route if changed else None, direction if changed else None, s[8] + 1, s[9] + ms), None
-        if s[0] > ms:
-            return s, None  # an older report is dropped
-    return (ms, route, direction, heading, lat, lon, None, None, 1, ms), s
-
-
 class VehicleMerger(StatefulProcessor):
     """One state for each vehicle; see step()."""
 
@@ -52,24 +32,28 @@ class VehicleMerger(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("merge", _STATE)
 
-    def _timer(self, first_ms: int) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(first_ms + GRACE_MS)
+    def _timer(self, before: int | None, first_ms: int) -> None:
+        """The vehicle's only timer follows its first report; most reports leave it alone."""
+        if before != first_ms:
+            if before is not None:
+                self.handle.deleteTimer(before + GRACE_MS)
+            self.handle.registerTimer(first_ms + GRACE_MS)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         s = self.state.get() if self.state.exists() else None
         s = tuple(s) if s is not None else None
+        before = s[0] if s is not None else None
         out: list[tuple] = []
         frames = pd.concat(list(rows)).sort_values(["arrival", "unix_ms"], kind="stable")
-        for r in frames[["unix_ms", "route_tag", "dir_tag", "heading", "lat", "lon"]].itertuples(index=False):
+        rows = frames[["unix_ms", "route_tag", "dir_tag", "heading", "lat", "lon"]].astype(object)
+        for r in rows.where(rows.notna(), None).itertuples(index=False):
             s, emit = step(s, tuple(r))
             if emit is not None:
                 out += merged_rows(key[0], emit)
         plain = lambda v: v.item() if hasattr(v, "item") else v
         s = tuple(plain(v) for v in s)
         self.state.update(s)
-        self._timer(s[0])
+        self._timer(before, s[0])
         yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -99,7 +83,8 @@ def write_days(stream: DataFrame, path: str, checkpoint: str, raw_path: str | No
     def save(batch: DataFrame, _: int) -> None:
         batch = batch.withColumn("day", when.archive_day(F.col("unix_ms"), zone))
         batch.persist()
-        batch.repartition("day").sortWithinPartitions("unix_ms", "vehicle_id").write.mode("append").partitionBy("day").parquet(path)
+        # Ranges of time within a day, so that a full day is no single task's.
+        batch.repartitionByRange("day", "unix_ms").sortWithinPartitions("day", "unix_ms", "vehicle_id").write.mode("append").partitionBy("day").parquet(path)
         if raw_path:
             batch.drop("day").write.mode("append").parquet(raw_path)
         batch.unpersist()

@@ -113,3 +113,14 @@ def test_xml_text(spark):
     paths = ["b/x", "a", "b/a/z", "c", "b/y"]
     rows = spark.createDataFrame([(p,) for p in paths], "p string").orderBy(xml.path_key(c("p"))).collect()
     assert [r.p for r in rows] == ["a", "c", "b/x", "b/y", "b/a/z"]
+
+
+def test_times_as_people_write_them(spark):
+    now = F.lit("2013-06-14 13:30:00").cast("timestamp_ntz")  # a Friday
+    want = {
+        "2013-06-14 15:00:00": "3pm", "2013-06-14 15:04:00": "3:04pm", "2013-06-14 15:04:05": "3:04:05pm", "2013-06-14 15:04:05.25": "3:04:05.25pm", "2013-06-15 00:00:00": "midnight",
+        "2013-06-15 12:00:00": "tomorrow at noon", "2013-06-16 00:00:00": "tomorrow at midnight", "2013-06-16 09:00:00": "Sunday at 9am", "2013-06-17 00:00:00": "Monday at midnight",
+        "2013-06-20 01:00:00": "Thursday at 1am", "2013-06-21 00:00:00": "Friday at midnight", "2013-06-21 08:15:00": "2013-06-21 at 8:15am", "2013-06-14 13:30:00": "2013-06-14T13:30:00Z", "2013-06-13 01:02:03.5": "2013-06-13T01:02:03.5Z",
+    }
+    got = one(spark, *(when.human(now, F.lit(t).cast("timestamp_ntz")) for t in want))
+    assert list(got) == list(want.values())

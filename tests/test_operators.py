@@ -2,13 +2,14 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from fleetloom.functions import geom
-from fleetloom.operators import diff, fit, histogram, merge, partition, raster, refit, spatial, stats
+from fleetloom.operators import diff, fit, histogram, merge, order, partition, raster, refit, spatial, stats
 from fleetloom.plans import join_queries
 
 c = F.col
@@ -216,3 +217,53 @@ def test_pictures(spark):
     assert box == 10
     image = raster.png(spark.createDataFrame([(0, 0, 255), (1, 2, 7)], "hist_row int, hist_col int, level int"), 3, 2)
     assert image[:8] == b"\x89PNG\r\n\x1a\n" and image[16:24] == (3).to_bytes(4, "big") + (2).to_bytes(4, "big")
+
+
+def test_merge_of_a_busy_vehicle_and_of_missing_tags(spark):
+    rows = [report(1000, route=None, heading=None), report(1500, route=None, heading=None), report(1800, heading=None)]
+    assert merged(spark, rows) == [("v", 1433, None, "a", 0), ("v", 1434, "1", "a", 0)]
+    assert merged(spark, [report(1000), report(1500, direction="b")], same_tags=True) == [("v", 1000, "1", "a", 0), ("v", 1500, "1", "b", 0)]
+    n = 60_000
+    many = spark.range(n).select(F.lit("v").alias("vehicle_id"), (c("id") * 700 + c("id") % 7 * 400).alias("unix_ms"), F.lit("1").alias("route_tag"), (c("id") % 3).cast("string").alias("dir_tag"), F.lit(1).alias("heading"), F.expr("CAST(id DIV 5 AS DOUBLE)").alias("lat"), F.lit(2.0).alias("lon"), c("id").alias("arrival"))
+    began = time.monotonic()
+    got = sorted((r.unix_ms, r.dir_tag, r.dropped) for r in merge.merge_reports(many, "arrival").collect())
+    assert time.monotonic() - began < 30
+    state, want, dropped = None, [], 0
+    for i in range(n):
+        before = state
+        state, done = merge.step(state, (i * 700 + i % 7 * 400, "1", str(i % 3), 1, float(i // 5), 2.0))
+        if done:
+            want += merge.merged_rows("v", done)
+        elif state is before:
+            dropped += 1
+    want += merge.merged_rows("v", state)
+    assert got == sorted((w[1], w[3], dropped) for w in want)
+
+
+def test_bounded_sort(spark):
+    rng = random.Random(5)
+    rows = [(k, i, rng.randrange(10_000) if rng.random() < 0.05 else i + rng.randrange(-20, 20)) for k in (1, 2, None) for i in range(700)]
+
+    def plain(times, buffer, emit):
+        out, waiting = [], []
+        for i, t in enumerate(times):
+            waiting.append((t, i))
+            if len(waiting) == buffer:
+                waiting.sort()
+                out, waiting = out + waiting[:emit], waiting[emit:]
+        return [i for _, i in out + sorted(waiting)]
+
+    df = spark.createDataFrame(rows, "k int, i int, t int").withColumn("name", F.lit("x"))
+    for buffer, emit in ((100, 40), (10, 5), (1000, 500)):
+        got = order.bounded_sort(df, ["k"], ["i"], ["t"], buffer, emit).collect()
+        for k in (1, 2, None):
+            own = sorted((r for r in got if r.k == k), key=lambda r: r.place)
+            assert [r.place for r in own] == list(range(1, 701))
+            assert [r.i for r in own] == plain([t for q, _, t in rows if q == k], buffer, emit)
+    assert order.bounded_sort(df.limit(0), ["k"], ["i"], ["t"]).count() == 0
+
+
+def test_trimmed_extrema_need_enough_samples(spark):
+    assert [stats.samples_near_extrema(n) for n in (10_000, 99_999, 100_000, 1_000_000)] == [20, 20, 50, 200]
+    with pytest.raises(ValueError, match="too few"):
+        stats.samples_near_extrema(9_999)
