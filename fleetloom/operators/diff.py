@@ -22,21 +22,23 @@ def verdict(differing: Column, only_first: Column, only_second: Column) -> Colum
 
 
 def directory_verdicts(files: DataFrame, directory: str, name: str, content: str) -> DataFrame:
-    """first, second, verdict for every two directories (first < second by name) that hold files.
+    """first, second, verdict for each two directories that follow each other in the order of their names.
 
-    Only names that two directories share are joined; what one lacks follows from the counts.
+    A file takes part as one of the first and as one of the second directory of a pair, so files meet by pair and name in
+    one shuffle and nothing is joined with itself. Directories, unlike files, are few: their order is one window.
     """
     f = files.select(F.col(directory).alias("_d"), F.col(name).alias("_n"), F.col(content).alias("_c"))
-    sizes = f.groupBy("_d").agg(F.count("*").alias("size"))
-    common = (
-        f.alias("a").join(f.alias("b"), (F.col("a._n") == F.col("b._n")) & (F.col("a._d") < F.col("b._d")))
-        .groupBy(F.col("a._d").alias("first"), F.col("b._d").alias("second"))
-        .agg(F.count("*").alias("common"), F.sum((~F.col("a._c").eqNullSafe(F.col("b._c"))).cast("int")).alias("differing"))
-    )
-    one, two = sizes.select(F.col("_d").alias("first"), F.col("size").alias("size1")), sizes.select(F.col("_d").alias("second"), F.col("size").alias("size2"))
-    # Pairs of directories are the result itself; directories, unlike files, are few.
-    pairs = one.join(two, F.col("first") < F.col("second")).join(common, ["first", "second"], "left").fillna(0, ["common", "differing"])
-    return pairs.select("first", "second", verdict(F.col("differing"), F.col("size1") - F.col("common"), F.col("size2") - F.col("common")).alias("verdict"))
+    order = Window.orderBy("_d")
+    listed = f.select("_d").distinct().select("_d", F.lag("_d").over(order).alias("_before"), F.lead("_d").over(order).alias("_after"))
+    roles = F.array(F.struct(F.col("_d").alias("first"), F.col("_after").alias("second")), F.struct(F.col("_before").alias("first"), F.col("_d").alias("second")))
+    dealt = f.join(listed, "_d").select(F.col("_d"), "_n", "_c", F.explode(roles).alias("_p")).filter("_p.first IS NOT NULL AND _p.second IS NOT NULL")
+    mine, theirs = F.col("_d") == F.col("_p.first"), F.col("_d") == F.col("_p.second")
+    met = dealt.groupBy(F.col("_p.first").alias("first"), F.col("_p.second").alias("second"), "_n").agg(
+        F.count(F.when(mine, 1)).alias("n1"), F.count(F.when(theirs, 1)).alias("n2"), F.max(F.when(mine, F.col("_c"))).alias("c1"), F.max(F.when(theirs, F.col("_c"))).alias("c2")
+    )
+    both = (F.col("n1") > 0) & (F.col("n2") > 0)
+    counts = met.groupBy("first", "second").agg(F.count(F.when(both & ~F.col("c1").eqNullSafe(F.col("c2")), 1)).alias("differing"), F.count(F.when(F.col("n2") == 0, 1)).alias("only1"), F.count(F.when(F.col("n1") == 0, 1)).alias("only2"))
+    return counts.select("first", "second", verdict(F.col("differing"), F.col("only1"), F.col("only2")).alias("verdict"))
 
 
 def pending(available: DataFrame, done: DataFrame, key: str) -> DataFrame:

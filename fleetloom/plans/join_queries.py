@@ -122,12 +122,13 @@ def j10(spark: SparkSession, d: str) -> DataFrame:
     return vehicle_reports(spark, d).select("dir_tag").join(directions(spark), "dir_tag", "left").groupBy("dir_tag", "route_tag").agg(F.count("*").alias("reports"))
 
 
-_SIDES = "a AS (SELECT doc_id, md5(text) AS content FROM documents WHERE source = 'src1'), b AS (SELECT doc_id + 1 AS doc_id, md5(text) AS content FROM documents WHERE source = 'src1' OR source = 'src0')"
+# Two listings of all documents by id and text, the second with every id moved and the texts in small letters.
+_SIDES = "a AS (SELECT doc_id, md5(text) AS content FROM documents), b AS (SELECT doc_id + 13 AS doc_id, md5(lower(text)) AS content FROM documents)"
 
 
 def _directories(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    docs = table(spark, d, "documents").select("doc_id", "source", F.md5("text").alias("content"))
-    return docs.filter("source = 'src1'").select("doc_id", "content"), docs.filter("source IN ('src0', 'src1')").select((c("doc_id") + 1).alias("doc_id"), "content")
+    docs = table(spark, d, "documents")
+    return docs.select("doc_id", F.md5("text").alias("content")), docs.select((c("doc_id") + 13).alias("doc_id"), F.md5(F.lower("text")).alias("content"))
 
 
 @query("j11_full_outer", f"WITH {_SIDES} SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN b.doc_id IS NULL THEN 'only1' WHEN a.doc_id IS NULL THEN 'only2' ELSE 'common' END AS place FROM a FULL JOIN b ON a.doc_id = b.doc_id")
@@ -142,20 +143,23 @@ def e01(spark: SparkSession, d: str) -> DataFrame:
     return count(a.intersect(b), "both").union(count(a.subtract(b), "left")).union(count(b.subtract(a), "right"))
 
 
-_VERDICT = """SELECT s1, s2, CASE WHEN differing > 0 OR only1 > 0 AND only2 > 0 THEN 'different' WHEN only1 > 0 THEN 'first_more_complete' WHEN only2 > 0 THEN 'second_more_complete' ELSE 'equivalent' END AS verdict
-FROM (SELECT p.s1, p.s2, count(*) FILTER (x.content <> y.content) AS differing, count(*) FILTER (y.k IS NULL) AS only1, count(*) FILTER (x.k IS NULL) AS only2
-      FROM p JOIN (SELECT DISTINCT k FROM f) ks ON true LEFT JOIN f x ON x.source = p.s1 AND x.k = ks.k LEFT JOIN f y ON y.source = p.s2 AND y.k = ks.k WHERE x.k IS NOT NULL OR y.k IS NOT NULL GROUP BY p.s1, p.s2)"""
+# Each source as one snapshot of a directory, with its documents as files; and the catalogue of customers, one snapshot for each segment and one file for each nation.
+_FILES = """f AS (SELECT source AS d, CAST(doc_id AS VARCHAR) AS k, md5(text) AS content FROM documents
+    UNION ALL SELECT 'segment ' || c_mktsegment, CAST(c_nationkey AS VARCHAR), CAST(count(*) AS VARCHAR) FROM customer GROUP BY ALL)"""
 
 
 @query(
     "e02_dir_verdict",
-    f"""WITH f AS (SELECT source, doc_id % 40 AS k, min(CASE WHEN doc_id % 3 = 0 THEN lang ELSE 'same' END) AS content FROM documents GROUP BY ALL),
-    p AS (SELECT a.source AS s1, b.source AS s2 FROM (SELECT DISTINCT source FROM f) a, (SELECT DISTINCT source FROM f) b WHERE a.source < b.source) {_VERDICT}""",
+    f"""WITH {_FILES}, p AS (SELECT lag(d) OVER (ORDER BY d) AS s1, d AS s2 FROM (SELECT DISTINCT d FROM f)),
+    x AS (SELECT s1, s2, k, max(content) FILTER (side = 1) AS c1, max(content) FILTER (side = 2) AS c2 FROM (
+        SELECT s1, s2, k, content, 1 AS side FROM p JOIN f ON f.d = p.s1 UNION ALL SELECT s1, s2, k, content, 2 FROM p JOIN f ON f.d = p.s2 WHERE s1 IS NOT NULL) GROUP BY ALL)
+    SELECT s1, s2, CASE WHEN differing > 0 OR only1 > 0 AND only2 > 0 THEN 'different' WHEN only1 > 0 THEN 'first_more_complete' WHEN only2 > 0 THEN 'second_more_complete' ELSE 'equivalent' END AS verdict
+    FROM (SELECT s1, s2, count(*) FILTER (c1 <> c2) AS differing, count(*) FILTER (c2 IS NULL) AS only1, count(*) FILTER (c1 IS NULL) AS only2 FROM x GROUP BY ALL)""",
 )
 def e02(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
-    files = docs.groupBy("source", (c("doc_id") % 40).alias("name")).agg(F.min(F.when(c("doc_id") % 3 == 0, c("lang")).otherwise("same")).alias("content"))
-    return diff.directory_verdicts(files, "source", "name", "content").select(c("first").alias("s1"), c("second").alias("s2"), "verdict")
+    docs = table(spark, d, "documents").select(c("source").alias("d"), c("doc_id").cast("string").alias("k"), F.md5("text").alias("content"))
+    nations = table(spark, d, "customer").groupBy(F.concat(F.lit("segment "), "c_mktsegment").alias("d"), c("c_nationkey").cast("string").alias("k")).agg(F.count("*").cast("string").alias("content"))
+    return diff.directory_verdicts(docs.union(nations), "d", "k", "content").select(c("first").alias("s1"), c("second").alias("s2"), "verdict")
 
 
 @query("e05_union_matches", over_views("SELECT count(*) AS n, count(DISTINCT event_id) AS reports FROM (SELECT event_id, path_index FROM match UNION SELECT event_id, path_index FROM near)", _MATCH, _NEAR))

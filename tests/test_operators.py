@@ -267,3 +267,11 @@ def test_trimmed_extrema_need_enough_samples(spark):
     assert [stats.samples_near_extrema(n) for n in (10_000, 99_999, 100_000, 1_000_000)] == [20, 20, 50, 200]
     with pytest.raises(ValueError, match="too few"):
         stats.samples_near_extrema(9_999)
+
+
+def test_verdicts_on_consecutive_directories(spark):
+    rows = [("a", "x", "1"), ("a", "y", "1"), ("b", "x", "1"), ("c", "x", "1"), ("c", "z", None), ("d", "x", "1"), ("d", "z", None), ("e", "x", "2"), ("e", "z", None), ("f", "q", "1")]
+    got = diff.directory_verdicts(spark.createDataFrame(rows, "d string, n string, c string"), "d", "n", "c").orderBy("first").collect()
+    want = [("a", "b", diff.FIRST_MORE), ("b", "c", diff.SECOND_MORE), ("c", "d", diff.EQUIVALENT), ("d", "e", diff.DIFFERENT), ("e", "f", diff.DIFFERENT)]
+    assert [tuple(r) for r in got] == want
+    assert "NestedLoop" not in plan(diff.directory_verdicts(spark.createDataFrame(rows, "d string, n string, c string"), "d", "n", "c"))
