@@ -9,7 +9,7 @@ from ..functions import geo, geom
 from ..operators import diff, partition, spatial
 from .fixtures import directions, over_views, path_segments, table, vehicle_reports
 from .core import query
-from .scalar_queries import sql_clip
+from .scalar_queries import sql_clip, sql_distance, sql_heading
 
 c = F.col
 #: Tolerances of map matching, in degrees of longitude and latitude, and how much a second search widens them.
@@ -240,12 +240,10 @@ def g22(spark: SparkSession, d: str) -> DataFrame:
     return spatial.resegment(segments(spark), 0.013).select("path_index", "position", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"))
 
 
-@query("m06_planar_reports", over_views("SELECT count(*) AS n, count(*) FILTER (heading BETWEEN 0 AND 360) AS with_direction FROM vehicle_reports"))
+@query("m06_planar_reports", over_views("SELECT event_id, round(cos(radians(90 - h)) * m, 4) AS x, round(sin(radians(90 - h)) * m, 4) AS y, CASE WHEN heading BETWEEN 0 AND 360 THEN round(radians(CAST((450 - heading) % 360 AS DOUBLE)), 9) END AS direction FROM d", f"d AS (SELECT event_id, heading, {sql_distance('422e-1', '-7105e-2', 'lat', 'lon')} AS m, {sql_heading('422e-1', '-7105e-2', 'lat', 'lon')} AS h FROM vehicle_reports)"))
 def m06(spark: SparkSession, d: str) -> DataFrame:
-    r = vehicle_reports(spark, d)
     x, y = geo.to_local(c("lat"), c("lon"), F.lit(42.2), F.lit(-71.05))
-    planar = r.select("event_id", x.alias("x"), y.alias("y"), geo.to_direction(c("heading")).alias("direction"))
-    return planar.agg(F.count("x").alias("n"), F.count("direction").alias("with_direction"))
+    return vehicle_reports(spark, d).select("event_id", F.round(x, 4).alias("x"), F.round(y, 4).alias("y"), F.round(geo.to_direction(c("heading")), 9).alias("direction"))
 
 
 @query("k08_fanout_keys", over_views("SELECT coalesce(path_index, -1) AS path_index, count(*) AS reports FROM vehicle_reports r LEFT JOIN match m ON r.event_id = m.event_id GROUP BY ALL", _MATCH))
@@ -254,6 +252,12 @@ def k08(spark: SparkSession, d: str) -> DataFrame:
     return r.groupBy(F.coalesce("path_index", F.lit(-1)).alias("path_index")).agg(F.count("*").alias("reports"))
 
 
+def planner_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Sixteen places about each report, as a planner needs more rows than the smallest table has."""
+    r = vehicle_reports(spark, d).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    return r.select((c("lon") + (c("k") * 7 % 16 - 8) * 1e-4).alias("lon"), (c("lat") + (c("k") - 8) * 1e-4).alias("lat"))
+
+
 def _planned(spark: SparkSession, d: str, leaves: DataFrame) -> DataFrame:
     """leaf, reports: how a plan deals out all reports."""
     return partition.route(vehicle_reports(spark, d), leaves, c("lon"), c("lat")).groupBy("leaf").agg(F.count("*").alias("reports"))
@@ -261,19 +265,29 @@ def _planned(spark: SparkSession, d: str, leaves: DataFrame) -> DataFrame:
 
 @query("r01_equal_count_plan")
 def r01(spark: SparkSession, d: str) -> DataFrame:
-    sample = vehicle_reports(spark, d).select("lon", "lat")
-    return _planned(spark, d, partition.equal_count_leaves(spark, sample, "lon", "lat", partition.Box(-71.25, -70.85, 42.05, 42.55), 2, 3, 0.005))
+    return _planned(spark, d, partition.equal_count_leaves(spark, planner_sample(spark, d), "lon", "lat", 2, 5))
+
+
+@query("r03_root_sizes")
+def r03(spark: SparkSession, d: str) -> DataFrame:
+    rows = [(i, *partition.root_sizes(float(sn), float(we), float(least))) for i, sn, we, least in ((1, 3300, 5500, 48), (2, 2000, 2000, 30), (3, 4100, 900, 48))]
+    return spark.createDataFrame(rows, "region int, sn int, we int, unit int")
 
 
 @query("r04_square_plan")
 def r04(spark: SparkSession, d: str) -> DataFrame:
-    sample = vehicle_reports(spark, d).select("lon", "lat")
-    return _planned(spark, d, partition.square_leaves(spark, sample, "lon", "lat", partition.Box(-71.25, -70.85, 42.05, 42.55), (33_000.0, 55_000.0)))
+    return _planned(spark, d, partition.square_leaves(spark, planner_sample(spark, d), "lon", "lat"))
+
+
+_EDGES = "SELECT *, lag(cut) OVER (ORDER BY cut) AS lo FROM (SELECT unnest([{}, CAST('Infinity' AS DOUBLE)]) AS cut)"
+_GRID = f"""xs AS (SELECT row_number() OVER (ORDER BY cut) - 1 AS i, coalesce(lo, CAST('-Infinity' AS DOUBLE)) AS x0, cut AS x1 FROM ({_EDGES.format(", ".join(f"{v}e0" for v in _CUTS_X))})),
+ys AS (SELECT row_number() OVER (ORDER BY cut) - 1 AS j, coalesce(lo, CAST('-Infinity' AS DOUBLE)) AS y0, cut AS y1 FROM ({_EDGES.format(", ".join(f"{v}e0" for v in _CUTS_Y))}))"""
 
 
-@query("k10_leaf_json", over_views("SELECT 20 AS leaves, 4 AS outer_corners"))
+@query("k10_leaf_json", f"WITH {_GRID} SELECT CAST(j * {len(_CUTS_X) + 1} + i AS INT) AS leaf, isinf(x0) AS open_west, isinf(x1) AS open_east, CASE WHEN NOT isinf(x0) THEN x0 END AS x0, CASE WHEN NOT isinf(x1) THEN x1 END AS x1, CASE WHEN NOT isinf(y0) THEN y0 END AS y0, CASE WHEN NOT isinf(y1) THEN y1 END AS y1 FROM xs, ys")
 def k10(spark: SparkSession, d: str) -> DataFrame:
-    leaves = partition.grid_leaves(spark, list(_CUTS_X), list(_CUTS_Y)).select(F.to_json(F.struct("leaf", "x0", "x1", "y0", "y1")).alias("j"))
+    leaves = partition.grid_leaves(spark, list(_CUTS_X), list(_CUTS_Y)).select(F.to_json(F.struct("leaf", *(c(k).cast("string").alias(k) for k in ("x0", "x1", "y0", "y1")))).alias("j"))
     back = leaves.select(F.from_json("j", "leaf int, x0 string, x1 string, y0 string, y1 string").alias("b")).select("b.*")
-    open_ = lambda k: c(k).like("%Inf%").cast("int")
-    return back.agg(F.count("*").cast("int").alias("leaves"), F.sum((open_("x0") + open_("x1") + open_("y0") + open_("y1") == 2).cast("int")).cast("int").alias("outer_corners"))
+    value = {k: c(k).cast("double") for k in ("x0", "x1", "y0", "y1")}
+    open_ = lambda k: F.abs(value[k]) == float("inf")
+    return back.select("leaf", open_("x0").alias("open_west"), open_("x1").alias("open_east"), *(F.when(~open_(k), value[k]).alias(k) for k in value))

@@ -142,20 +142,112 @@ def test_latest_and_order(spark):
     assert merge.latest(df, "k", ["t", "i"]).first().i == 4
 
 
-def test_partition_plans_cover_every_point_once(spark):
-    rng = np.random.default_rng(2)
-    x, y = np.concatenate([rng.normal(50, 4, 3000), rng.uniform(0, 100, 1000), [-40, 200]]), np.concatenate([rng.normal(30, 4, 3000), rng.uniform(0, 80, 1000), [-5, 300]])
-    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y, strict=True)], "x double, y double").cache()
-    region = partition.Box(0.0, 100.0, 0.0, 80.0)
-    for leaves in (partition.equal_count_leaves(spark, df, "x", "y", region, 2, 3, 1.0), partition.square_leaves(spark, df, "x", "y", region, (100.0, 80.0), 4.0, 20.0, 0.02)):
-        boxes = leaves.collect()
-        routed = partition.route(df, leaves, c("x"), c("y")).collect()
-        for r in routed:
-            inside = [b.leaf for b in boxes if b.x0 <= r.x < b.x1 and b.y0 <= r.y < b.y1]
-            assert inside == [r.leaf]
-        wanted = set(partition.overlapping(leaves, (45.0, 55.0, 25.0, 35.0)))
-        assert {r.leaf for r in routed if 45 <= r.x <= 55 and 25 <= r.y <= 35} <= wanted and len(wanted) < len(boxes)
-    assert partition.root_cuts(100, 80, 20)[0] >= 2
+def places(n=12_000, seed=2):
+    rng = np.random.default_rng(seed)
+    x = np.concatenate([rng.normal(-71.05, 0.04, n // 2), rng.uniform(-71.3, -70.9, n - n // 2 - 4), [-80.0, -60.0, -71.0, -71.0]])
+    y = np.concatenate([rng.normal(42.3, 0.03, n // 2), rng.uniform(42.1, 42.6, n - n // 2 - 4), [42.3, 42.3, 10.0, 60.0]])
+    return [(float(a), float(b)) for a, b in zip(x, y, strict=True)]
+
+
+def metres(lat1, lon1, lat2, lon2):
+    u, v = math.sin(math.radians(lat2 - lat1) / 2), math.sin(math.radians(lon2 - lon1) / 2)
+    a = u * u + v * v * math.cos(math.radians(lat1)) * math.cos(math.radians(lat2))
+    return (6378137.0 - 21384.7 * abs(math.sin(math.radians((lat1 + lat2) / 2)))) * 2 * math.atan2(math.sqrt(a), math.sqrt(1 - a))
+
+
+def near_ends(values, k=20):
+    v = sorted(values)
+    return sum(v[k // 2 : k]) / (k // 2), sum(v[len(v) - k : len(v) - k // 2]) / (k // 2)
+
+
+def plain_equal_counts(rows, cuts, levels):
+    """Finite leaves and what they hold, on lists."""
+    (x0, x1), (y0, y1) = near_ends([x for x, _ in rows]), near_ends([y for _, y in rows])
+    mx, my = sorted(x for x, _ in rows)[len(rows) // 2], sorted(y for _, y in rows)[len(rows) // 2]
+    if metres(my, x0, my, x1) >= metres(y0, mx, y1, mx):
+        rows = [r for r in rows if x0 <= r[0] <= x1]
+        y0, y1 = near_ends([y for _, y in rows])
+    else:
+        rows = [r for r in rows if y0 <= r[1] <= y1]
+        x0, x1 = near_ends([x for x, _ in rows])
+    rows = [r for r in rows if x0 <= r[0] <= x1 and y0 <= r[1] <= y1]
+
+    def cut(box, own, level):
+        a, b, p, q = box
+        wide, high = metres((p + q) / 2, a, (p + q) / 2, b), metres(p, 0, q, 0)
+        if level == levels or max(wide, high) <= 500:
+            return [(box, len(own))]
+        axis = 0 if wide >= high else 1
+        own, out, lo = sorted(own, key=lambda r: r[axis]), [], (a, p)[axis]
+        for left in range(cuts + 1, 0, -1):
+            n = len(own) // left
+            hi = own[n][axis] if left > 1 else (b, q)[axis]
+            out += cut((lo, hi, p, q) if axis == 0 else (a, b, lo, hi), own[:n], level + 1)
+            own, lo = own[n:], hi
+        return out
+
+    return cut((x0, x1, y0, y1), rows, 2)
+
+
+def test_equal_count_plan_against_lists(spark):
+    rows = places()
+    df = spark.createDataFrame(rows, "x double, y double").cache()
+    leaves = partition.equal_count_leaves(spark, df, "x", "y", 2, 5)
+    want = plain_equal_counts(rows, 2, 5)
+    boxes = leaves.orderBy("leaf").collect()
+    finite = [b for b in boxes if all(map(math.isfinite, b[1:]))]
+    assert len(want) == 27 and sorted(tuple(round(v, 9) for v in b[1:]) for b in finite) == sorted(tuple(round(v, 9) for v in box) for box, _ in want)
+    counts = {r.leaf: r["count"] for r in partition.route(df, leaves, c("x"), c("y")).groupBy("leaf").count().collect()}
+    assert None not in counts and sum(counts.values()) == len(rows)
+    inner = [counts[b.leaf] for b in finite]
+    assert max(inner) - min(inner) <= 4
+    with pytest.raises(ValueError, match="too few"):
+        partition.equal_count_leaves(spark, df.limit(500), "x", "y", 2, 5)
+
+
+def plain_root(sn, we, least):
+    a, b, target = int(sn), int(we), least * 16
+    while True:
+        pairs = [(i, j, math.gcd(i, j)) for i in range(a, math.ceil(sn * 1.2) + 1) for j in range(b, math.ceil(we * 1.2) + 1)]
+        pairs = [p for p in pairs if p[2] >= int(target + 0.5)]
+        if pairs:
+            return min(pairs, key=lambda p: (-partition.root_score(*p, a, b, int(least)), p[0], p[1]))
+        target = max(target / 2, least)
+
+
+def test_root_sizes_against_all_pairs():
+    for sn, we, least in ((330.0, 550.0, 4.0), (200.0, 200.0, 3.0), (410.5, 90.25, 5.0), (97.0, 101.0, 7.0)):
+        assert partition.root_sizes(sn, we, least) == plain_root(sn, we, least)
+    # 360 = 2*2*2*3*3*5: its primes down to a rest of 3, and 18 % of area beyond.
+    want = 100 / (100 + 6 * 18) / math.sqrt(1 * 1) * math.sqrt(3 * 0.7 + 2 * 0.9) * (math.sqrt(5) - 0.9)
+    assert partition.root_score(360, 360, 360, 331, 331, 3) == pytest.approx(want)
+    with pytest.raises(ValueError, match="no squares"):
+        partition.root_sizes(40.0, 3.0, 10.0)
+
+
+def test_square_plan_covers_every_point_once(spark, tmp_path):
+    rows = places()
+    df = spark.createDataFrame(rows, "x double, y double").cache()
+    leaves = partition.square_leaves(spark, df, "x", "y", 500.0, 6000.0, 0.005)
+    partition.write_plan(leaves, str(tmp_path / "plan"))
+    back = partition.read_plan(spark, str(tmp_path / "plan"))
+    boxes = leaves.orderBy("leaf").collect()
+    assert boxes == back.orderBy("leaf").collect() and len(boxes) > partition.FEW
+    routed = partition.route(df, back, c("x"), c("y"))
+    assert "NestedLoop" not in plan(routed) and routed.columns == ["x", "y", "leaf"]
+    counts = {}
+    for r in routed.collect():
+        b = boxes[r.leaf]
+        assert b.x0 <= r.x < b.x1 and b.y0 <= r.y < b.y1
+        counts[r.leaf] = counts.get(r.leaf, 0) + 1
+    for b in boxes:
+        if all(map(math.isfinite, b[1:])):
+            mid = (b.y0 + b.y1) / 2
+            wide, high = metres(mid, b.x0, mid, b.x1), metres(b.y0, 0, b.y1, 0)
+            assert abs(wide / high - 1) < 0.02 and wide * high <= 1.02 * 6000**2
+            assert counts.get(b.leaf, 0) <= 0.005 * len(rows) or wide * high < 1.02 * 4 * 500**2
+    wanted = set(partition.overlapping(leaves, (-71.1, -71.0, 42.25, 42.35)))
+    assert {r.leaf for r in routed.filter("x BETWEEN -71.1 AND -71.0 AND y BETWEEN 42.25 AND 42.35").collect()} <= wanted and len(wanted) < len(boxes)
 
 
 def test_pruned_scan_reads_few_leaves(spark, tmp_path):
