@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregate_queries, join_queries, scalar_queries, table_queries  # noqa: F401  they register their queries
+from . import aggregate_queries, catalog_queries, join_queries, scalar_queries, table_queries  # noqa: F401  they register their queries
 from .core import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]

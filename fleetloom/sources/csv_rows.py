@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo, when
@@ -14,12 +14,17 @@ EARLIEST_MS = 946_684_800_000
 HEADER = "# unix_ms,date time,vehicle id,route tag,direction tag,heading,latitude,longitude"
 
 
+def kept_path(path: Column, excluded: tuple[str, ...] = ("config", "logs")) -> Column:
+    """Whether a file lies in none of the excluded directories."""
+    return ~path.rlike(f"/({'|'.join(excluded)})/")
+
+
 def read(spark: SparkSession, paths: str | list[str], glob: str = "*.csv*") -> DataFrame:
     """Raw string rows, with _corrupt_record where a line hasn't eight fields. Gzip is read by its extension; directories named
     config or logs are left out."""
     # A line of the wrong length shows only while all its fields are parsed.
     rows = spark.read.schema(SCHEMA).option("columnPruning", "false").csv(paths, comment="#", mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", recursiveFileLookup=True, pathGlobFilter=glob)
-    return rows.withColumn("file", F.input_file_name()).filter(~F.col("file").rlike("/(config|logs)/"))
+    return rows.withColumn("file", F.input_file_name()).filter(kept_path(F.col("file")))
 
 
 def parse(raw: DataFrame, latest_ms: int | None = None, keep: list[str] | None = None) -> DataFrame:
