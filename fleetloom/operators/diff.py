@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,22 +78,22 @@ def cull_fold(steps: Column) -> Column:
     return F.aggregate(steps, start, step, lambda s: s["gone"])
 
 
+_ENTRY = "struct<path:string,value:string,kind:string>"
+
+
 def _leaves(kind: T.DataType, column: Column, path: Column) -> list[Column]:
-    """Structs (path, value, kind) of every field below, as arrays of structs."""
+    """Arrays of (path, value, kind) of every field below, whatever structs, arrays and maps it lies in."""
     entry = lambda p, v, k: F.struct(p.alias("path"), v.cast("string").alias("value"), F.lit(k).alias("kind"))
+    null = F.array(entry(path, F.lit(None), "null"))
+    within = lambda of, value, name: F.concat(*_leaves(of, value, F.concat(path, F.lit("["), name.cast("string"), F.lit("]"))))
     if isinstance(kind, T.StructType):
-        own = F.when(column.isNull(), F.array(entry(path, F.lit(None), "null"))).otherwise(F.array().cast("array<struct<path:string,value:string,kind:string>>"))
+        own = F.when(column.isNull(), null).otherwise(F.array().cast(f"array<{_ENTRY}>"))
         return [own, *(x for f in kind.fields for x in _leaves(f.dataType, column[f.name], F.concat(path, F.lit(f".{f.name}"))))]
-    if isinstance(kind, T.ArrayType):
-        length = F.array(entry(F.concat(path, F.lit(".length")), F.size(column), "length"))
-        own = F.when(column.isNull(), F.array(entry(path, F.lit(None), "null"))).otherwise(length)
-        if isinstance(kind.elementType, T.StructType | T.ArrayType | T.MapType):
-            return [own, F.transform(F.coalesce(column, F.array().cast(kind)), lambda v, i: entry(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), F.to_json(v) if not isinstance(kind.elementType, T.AtomicType) else v, "value"))]
-        return [own, F.transform(F.coalesce(column, F.array().cast(kind)), lambda v, i: entry(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), v, "value"))]
-    if isinstance(kind, T.MapType):
-        entries = F.map_entries(F.coalesce(column, F.create_map().cast(kind)))
-        own = F.when(column.isNull(), F.array(entry(path, F.lit(None), "null"))).otherwise(F.array(entry(F.concat(path, F.lit(".length")), F.size(column), "length")))
-        return [own, F.transform(entries, lambda e: entry(F.concat(path, F.lit("["), e["key"].cast("string"), F.lit("]")), e["value"], "value"))]
+    if isinstance(kind, T.ArrayType | T.MapType):
+        own = F.when(column.isNull(), null).otherwise(F.array(entry(F.concat(path, F.lit(".length")), F.size(column), "length")))
+        if isinstance(kind, T.ArrayType):
+            return [own, F.flatten(F.transform(F.coalesce(column, F.array().cast(kind)), lambda v, i: within(kind.elementType, v, i)))]
+        return [own, F.flatten(F.transform(F.map_entries(F.coalesce(column, F.create_map().cast(kind))), lambda e: within(kind.valueType, e["value"], e["key"])))]
     return [F.array(entry(path, column, "value"))]
 
 
@@ -101,10 +103,15 @@ def flatten(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, F.explode(F.concat(*parts)).alias("_e")).select(key, "_e.*")
 
 
-def deep_diff(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
-    """key, path, kind (missing, extra, length, value), v1, v2: where records of the same key differ, field by field."""
+def deep_diff(first: DataFrame, second: DataFrame, key: str, ignore: Sequence[str] = ()) -> DataFrame:
+    """key, path, kind (missing, extra, length, value), v1, v2: where records of the same key differ, field by field.
+
+    ignore: regular expressions of whole paths that may differ, as in `stops\\[\\d+\\]\\.title`.
+    """
     a = flatten(first, key).select(key, "path", F.col("value").alias("v1"), F.col("kind").alias("k1"))
     b = flatten(second, key).select(key, "path", F.col("value").alias("v2"), F.col("kind").alias("k2"))
     kind = F.when(F.col("k1").isNull(), "extra").when(F.col("k2").isNull(), "missing").when(F.col("k1") == "length", "length").otherwise("value")
     both = a.join(b, [key, "path"], "full_outer").filter(F.col("k1").isNull() | F.col("k2").isNull() | ~F.col("v1").eqNullSafe(F.col("v2")))
+    if ignore:
+        both = both.filter(~F.col("path").rlike("|".join(f"^(?:{p})$" for p in ignore)))
     return both.select(key, "path", kind.alias("kind"), "v1", "v2")

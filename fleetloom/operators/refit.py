@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geom
-from . import fit, spatial, stats
+from . import fit, lineage, spatial, stats
 
 c = F.col
 HALF = math.pi / 2
@@ -72,7 +72,8 @@ def _fit_weight() -> Column:
 def fit_round(reports: DataFrame, segments: DataFrame, reach: float) -> DataFrame:
     """path_index, seg_index, n, x1, y1, x2, y2: a line for each segment with near reports."""
     last = segments.groupBy("path_index").agg(F.max("seg_index").alias("last_index"))
-    near = links(reports, segments.join(last, "path_index"), reach).withColumn("reach", F.lit(float(reach)))
+    # Read by three aggregates and by the fit; the spatial join runs once.
+    near = lineage.cut(links(reports, segments.join(last, "path_index"), reach).withColumn("reach", F.lit(float(reach))))
     tags = trusted_tags(near).select("path_index", "dir_tag", "trusted")
     near = _end_weights(near.join(tags, ["path_index", "dir_tag"], "left").fillna(False, ["trusted"]))
     near = near.join(median_directions(near), ["path_index", "seg_index"], "left")
@@ -104,5 +105,5 @@ def refit(reports: DataFrame, waypoints: DataFrame, reach: float, rounds: int =
     for _ in range(rounds):
         segments = spatial.directed_segments(waypoints)
         waypoints = rebuild(segments, fit_round(reports, segments, reach))
-        waypoints = waypoints.checkpoint() if waypoints.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else waypoints.persist()
+        waypoints = lineage.cut(waypoints)
     return waypoints

@@ -40,17 +40,15 @@ def moments(df: DataFrame, keys: Sequence[str], x: Column, y: Column, w: Column,
 def weighted_median(df: DataFrame, keys: Sequence[str], values: Sequence[str], weight: str) -> DataFrame:
     """Lower weighted median of each value: the first in order at which the cumulative weight reaches half.
 
-    Equal values are summed up first, so a group's window holds its distinct values only. Columns: keys, <value>_median.
+    The values are stacked, so df is read once however many there are. Equal values are summed up first, so a group's window holds its
+    distinct values only. Columns: keys, <value>_median.
     """
-    out = None
-    for v in values:
-        summed = df.groupBy(*keys, v).agg(F.sum(weight).alias("_w"))
-        own = Window.partitionBy(*keys)
-        cumulative = F.sum("_w").over(own.orderBy(v).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        marked = summed.withColumn("_c", cumulative).withColumn("_t", F.sum("_w").over(own)).filter("_c >= _t / 2")
-        one = marked.groupBy(*keys).agg(F.min(v).alias(f"{v}_median"))
-        out = one if out is None else (out.join(one, list(keys)) if keys else out.crossJoin(one))  # one row each without keys
-    return out
+    stacked = df.select(*keys, F.col(weight).alias("_w"), F.explode(F.array(*(F.struct(F.lit(i).alias("_k"), F.col(v).cast("double").alias("_v")) for i, v in enumerate(values)))).alias("_s"))
+    summed = stacked.groupBy(*keys, F.col("_s._k").alias("_k"), F.col("_s._v").alias("_v")).agg(F.sum("_w").alias("_w"))
+    own = Window.partitionBy(*keys, "_k")
+    cumulative = F.sum("_w").over(own.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    marked = summed.withColumns({"_c": cumulative, "_t": F.sum("_w").over(own)}).filter("_c >= _t / 2")
+    return marked.groupBy(*keys).agg(*(F.min(F.when(F.col("_k") == i, F.col("_v"))).alias(f"{v}_median") for i, v in enumerate(values)))
 
 
 def sliding(order: Sequence[str], keys: Sequence[str], n: int):

@@ -194,13 +194,16 @@ def s17(spark: SparkSession, d: str) -> DataFrame:
     return p.select(c("p._index").cast("long").alias("path_index"), F.get("p.route", F.lit(0))["_tag"].alias("route_tag"), F.size("p.point").alias("points"), F.round(total, 5).alias("lat_sum"))
 
 
-@query("s18_archive_time", over_views("SELECT event_id, CASE event_id % 3 WHEN 0 THEN unix_ms WHEN 1 THEN unix_ms // 1000 * 1000 END AS ms FROM vehicle_reports"))
+@query("s18_archive_time", over_views("SELECT event_id, CASE event_id % 4 WHEN 0 THEN unix_ms WHEN 1 THEN unix_ms // 1000 * 1000 WHEN 2 THEN unix_ms END AS ms FROM vehicle_reports"))
 def s18(spark: SparkSession, d: str) -> DataFrame:
     from ..sources import feed_xml
 
     ms = c("unix_ms").cast("string")
-    name = F.when(c("event_id") % 3 == 0, F.concat(ms, F.lit(".xml"))).when(c("event_id") % 3 == 1, F.concat(F.lit("raw/"), when.stamp(c("unix_ms")), F.lit(".xml"))).otherwise(F.lit("note.xml"))
-    return vehicle_reports(spark, d).select("event_id", feed_xml.archive_time(F.replace(name, F.lit(" "), F.lit("_"))).alias("ms"))
+    clock = F.date_format(when.ms_to_utc(c("unix_ms")), "HHmmss.SSS")
+    name = F.when(c("event_id") % 4 == 0, F.concat(ms, F.lit(".xml"))).when(c("event_id") % 4 == 1, F.concat(F.lit("raw/"), when.stamp(c("unix_ms")), F.lit(".xml"))).when(c("event_id") % 4 == 2, F.concat(clock, F.lit(".xml"))).otherwise(F.lit("note.xml"))
+    # Files were last changed up to ten hours before or after their time.
+    changed = c("unix_ms") + (c("event_id") * 7919 % 72_000 - 36_000) * 1000
+    return vehicle_reports(spark, d).select("event_id", feed_xml.archive_time(F.replace(name, F.lit(" "), F.lit("_")), changed).alias("ms"))
 
 
 @query("s08_file_order", "SELECT doc_id, row_number() OVER (ORDER BY strftime(DATE '2014-01-01' + CAST(doc_id % 200 AS INT), '%Y%m%d') DESC, printf('raw/%06d', doc_id)) AS place FROM documents")

@@ -1,18 +1,20 @@
 """Archives of files: entries of tar and zip archives as rows, listings, incremental selection, and writing tar archives.
 
-Archives are read whole by one task each (their formats have to be), entries come out one by one.
+An archive is one task's work (its format has to be read in order), entries come out one by one.
 """
 
 from __future__ import annotations
 
-import gzip
 import io
 import tarfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,39 +27,53 @@ def files(spark: SparkSession, paths: str | list[str], glob: str = "*") -> DataF
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(paths).select("path", "modificationTime", "length")
 
 
-def _tar_entries(body: bytes) -> Iterator[tuple[str, float, bytes]]:
-    with tarfile.open(fileobj=io.BytesIO(body), mode="r:*") as tar:
+def _opened(path: str):
+    """The file as a seekable stream, from the store that Spark names; nothing is read ahead."""
+    scheme, colon, rest = path.partition(":")
+    if scheme == "file" or not colon:
+        return pafs.LocalFileSystem().open_input_file("/" + rest.lstrip("/") if colon else path)
+    if scheme == "dbfs":  # mounted on every node
+        return pafs.LocalFileSystem().open_input_file("/dbfs/" + rest.lstrip("/"))
+    fs, at = pafs.FileSystem.from_uri(f"{({'s3a': 's3', 's3n': 's3', 'abfss': 'abfs'}).get(scheme, scheme)}:{rest}")
+    return fs.open_input_file(at)
+
+
+def _tar_entries(stream) -> Iterator[tuple[str, float, bytes]]:
+    with tarfile.open(fileobj=stream, mode="r|*") as tar:
         for m in tar:  # all entries, also after the first
             if m.isfile():
                 yield m.name, m.mtime, tar.extractfile(m).read()
 
 
-def _zip_entries(body: bytes) -> Iterator[tuple[str, float, bytes]]:
-    with zipfile.ZipFile(io.BytesIO(body)) as z:
+def _zip_entries(stream) -> Iterator[tuple[str, float, bytes]]:
+    with zipfile.ZipFile(stream) as z:
         for i in z.infolist():
             if not i.is_dir():
                 yield i.filename, datetime(*i.date_time, tzinfo=timezone.utc).timestamp(), z.read(i)
 
 
 def entries(spark: SparkSession, paths: str | list[str], glob: str = "*") -> DataFrame:
-    """archive, name, mtime, size, body of each file in tar, tar.gz, tgz and zip archives; a broken archive fails its task."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(paths)
-    raw = raw.filter(F.col("path").rlike(r"\.(tar|tar\.gz|tgz|zip)$")).select("path", "content")
+    """archive, name, mtime, size, body of each file in tar, tar.gz, tgz and zip archives; a broken archive fails its task.
+
+    Archives are dealt out by name and streamed from their store, one entry at a time, so an archive may be larger than memory; an entry may not.
+    """
+    listing = files(spark, paths, glob).filter(F.col("path").rlike(r"\.(tar|tar\.gz|tgz|zip)$")).select("path")
+    listing = listing.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
 
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for path, content in zip(f["path"], f["content"], strict=True):
-                rows, held = [], 0
-                for name, mtime, body in _zip_entries(content) if path.endswith(".zip") else _tar_entries(content):
+        for path in (p for f in frames for p in f["path"]):
+            rows, held = [], 0
+            with _opened(unquote(path) if path.startswith("file:") else path) as stream:
+                for name, mtime, body in _zip_entries(stream) if path.endswith(".zip") else _tar_entries(stream):
                     rows.append((path, name, pd.Timestamp(mtime, unit="s"), len(body), body))
                     held += len(body)
                     if held > _BATCH:
                         yield pd.DataFrame(rows, columns=["archive", "name", "mtime", "size", "body"])
                         rows, held = [], 0
-                if rows:
-                    yield pd.DataFrame(rows, columns=["archive", "name", "mtime", "size", "body"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["archive", "name", "mtime", "size", "body"])
 
-    return raw.mapInPandas(unpack, ENTRY)
+    return listing.mapInPandas(unpack, ENTRY)
 
 
 def file_date(path: Column) -> Column:
@@ -97,23 +113,44 @@ def kind_of(body: Column) -> Column:
 def write_tars(df: DataFrame, path: str, group: str = "day") -> DataFrame:
     """A tar.gz for each group of rows (group, name, body, mtime_ms), entries in order of time; returns group, file, entries.
 
-    The archive is built by the task that holds the group and written through Arrow's file systems under its final name.
+    Rows stream into their archive in order, so a group may be larger than memory. An archive is written under a name of its attempt and
+    gets its final one when it is whole, so attempts of a task don't meet and a lost one leaves no archive.
     """
-    import pyarrow.fs as pafs
-
-    def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["mtime_ms", "name"])
-        out = io.BytesIO()
-        with gzip.GzipFile(fileobj=out, mode="wb", mtime=0) as z, tarfile.open(fileobj=z, mode="w") as tar:
-            for r in frame.itertuples():
-                info = tarfile.TarInfo(r.name)
-                info.size, info.mtime = len(r.body), r.mtime_ms / 1000
-                tar.addfile(info, io.BytesIO(r.body))
+    rows = df.select(F.col(group).cast("string").alias("_g"), "name", F.col("body").cast("binary").alias("body"), F.col("mtime_ms").cast("long").alias("mtime_ms"))
+    rows = rows.repartition("_g").sortWithinPartitions("_g", "mtime_ms", "name")
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, folder = pafs.FileSystem.from_uri(path)
         fs.create_dir(folder, recursive=True)
-        name = f"{frame[group].iloc[0]}.tar.gz"
-        with fs.open_output_stream(f"{folder}/{name}", compression=None) as f:
-            f.write(out.getvalue())
-        return pd.DataFrame({group: [frame[group].iloc[0]], "file": [name], "entries": [len(frame)]})
-
-    return df.select(group, "name", F.col("body").cast("binary").alias("body"), "mtime_ms").groupBy(group).applyInPandas(pack, f"{group} string, file string, entries long")
+        key = part = out = tar = None
+        n = 0
+
+        def done() -> pd.DataFrame:
+            tar.close()
+            out.close()
+            fs.move(part, f"{folder}/{key}.tar.gz")
+            return pd.DataFrame({"_g": [key], "file": [f"{key}.tar.gz"], "entries": [n]})
+
+        try:
+            for f in frames:
+                for g, name, body, ms in zip(f["_g"], f["name"], f["body"], f["mtime_ms"], strict=True):
+                    if tar is None or g != key:
+                        if tar is not None:
+                            yield done()
+                        key, n, part = g, 0, f"{folder}/.{g}-{uuid.uuid4().hex}"
+                        out = fs.open_output_stream(part, compression=None)
+                        tar = tarfile.open(fileobj=out, mode="w|gz")
+                    info = tarfile.TarInfo(name)
+                    info.size, info.mtime = len(body), ms / 1000
+                    tar.addfile(info, io.BytesIO(body))
+                    n += 1
+            if tar is not None:
+                yield done()
+                tar = None
+        finally:
+            if tar is not None and not out.closed:
+                out.close()
+                fs.delete_file(part)
+
+    kind = dict(df.dtypes)[group]
+    return rows.mapInPandas(pack, "_g string, file string, entries long").select(F.col("_g").cast(kind).alias(group), "file", "entries")

@@ -79,14 +79,29 @@ def archive_headers(comment: Column) -> Column:
     return F.when(F.size(parts) > 1, F.str_to_map(F.get(parts, F.lit(1)), F.lit("\n"), F.lit(": ")))
 
 
-def archive_time(name: Column) -> Column:
-    """Milliseconds from an archived file's name: 13 digits, 10 digits, or yyyymmdd_hhmmss; null for others."""
+DAY_MS = 86_400_000
+
+
+def archive_time(name: Column, changed_ms: Column | None = None) -> Column:
+    """Milliseconds from an archived file's name: 13 digits, 10 digits, yyyymmdd_hhmmss, or hhmmss with a fraction; null for others.
+
+    A time of day needs changed_ms, when the file was last changed: it is that day's time, or the next or last day's where that is nearer, as
+    a file made before midnight may be changed after it.
+    """
     base = F.regexp_extract(name, r"([^/]+?)(?:\.xml)?$", 1)
     ms = F.regexp_extract(base, r"^(\d{11,})$", 1).try_cast("long")
     seconds = F.regexp_extract(base, r"^(\d{10})$", 1).try_cast("long") * 1000
     stamp = F.regexp_extract(base, r"^(\d{8}_\d{6})$", 1)
     parsed = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd_HHmmss")).cast("timestamp_ntz")) * 1000
-    return F.coalesce(ms, seconds, parsed)
+    known = F.coalesce(ms, seconds, parsed)
+    if changed_ms is None:
+        return known
+    digits = lambda i: F.regexp_extract(base, r"^([01]\d|2[0-3])([0-5]\d)([0-5]\d)(?:\.(\d{1,3}))?$", i)
+    clock = (digits(1).try_cast("int") * 3600 + digits(2).try_cast("int") * 60 + digits(3).try_cast("int")).cast("long") * 1000 + F.coalesce(F.rpad(F.nullif(digits(4), F.lit("")), 3, "0").try_cast("int"), F.lit(0))
+    same_day = changed_ms - F.pmod(changed_ms, F.lit(DAY_MS)) + clock
+    off = same_day - changed_ms
+    near = F.when(off > DAY_MS // 2, same_day - DAY_MS).when(off < -DAY_MS // 2, same_day + DAY_MS).otherwise(same_day)
+    return F.coalesce(known, near)
 
 
 def with_comment(text: Column, metadata: Column) -> Column:

@@ -268,6 +268,15 @@ def test_deep_diff(spark):
     assert any(i == 2 and p.startswith("l") for i, p, *_ in got) and not any(i == 3 for i, *_ in got)
 
 
+def test_deep_diff_reaches_into_lists_and_maps(spark):
+    schema = "id long, s array<struct<t:string,n:array<int>>>, m map<string,struct<a:int>>"
+    one = spark.createDataFrame([(1, [("x", [1]), ("y", None)], {"k": (1,)})], schema)
+    two = spark.createDataFrame([(1, [("x", [1, 2]), ("z", [])], {"k": (2,)})], schema)
+    got = {(r.path, r.kind, r.v1, r.v2) for r in diff.deep_diff(one, two, "id").collect()}
+    assert got == {("s[0].n.length", "length", "1", "2"), ("s[0].n[1]", "extra", None, "2"), ("s[1].t", "value", "y", "z"), ("s[1].n", "missing", None, None), ("s[1].n.length", "extra", None, "0"), ("m[k].a", "value", "1", "2")}
+    assert {r.path for r in diff.deep_diff(one, two, "id", ignore=[r"s\[\d+\]\.n.*", r"m\[k\].*"]).collect()} == {"s[1].t"}
+
+
 def test_culling(spark):
     e, f1, f2, d = diff.EQUIVALENT, diff.FIRST_MORE, diff.SECOND_MORE, diff.DIFFERENT
 
