@@ -16,7 +16,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -26,8 +28,16 @@ from pyspark.sql import functions as F
 from .common import ship, worker_memory
 from .wordclass import LETTERS, NUMBERS, SPACE, UNUSUAL, byte_symbols
 
-#: Distinct words that a worker remembers at most. A full memory is kept while it serves most words, else begun anew. Pairs of tokens.
-MAX_WORDS, STALE, MAX_PAIRS = 200_000, 0.5, 500_000
+#: Bytes of words and of token pairs that a worker remembers at most. A full memory of words is kept while it serves most words, else begun anew.
+WORD_BYTES, PAIR_BYTES, STALE = 40_000_000, 40_000_000, 0.5
+#: What a remembered word and a remembered pair take beside their own bytes, about.
+PER_WORD, PER_PAIR = 190, 130
+#: Symbols from which on a word has no nodes in the trie; it would hardly share them.
+LONG = 256
+#: Words that a trie holds at most.
+TOGETHER = 4_000
+#: Characters of texts that are encoded together.
+RUN = 2_000_000
 
 # The vocabulary's own word pattern, with its classes written out for the code points below U+0250.
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{SPACE}{LETTERS}{NUMBERS}]+")
@@ -37,8 +47,6 @@ class TrieBpe:
     """Encoder and decoder for a BPE vocabulary file with an end-of-word mark."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -50,19 +58,27 @@ class TrieBpe:
         self.added_re = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.text_of = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.added.items()}
         self.symbols = [self._symbols(self.text_of[i]) if i in self.text_of else [] for i in range(max(self.text_of) + 1)]
-        # The library's normaliser and pre-tokenizer, for texts with unusual characters; the words go through the trie all the same.
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         self.byte = byte_symbols()
         self.pairs: dict[int, bool] = {}
         self.alone: dict[int, bool] = {}
         self.ids: dict[str, bytes] = {}
-        self.texts: dict[str, bytes] = {}
+        self.held = 0  # bytes of ids and their keys
+        self.new: list[str] = []  # the keys that the present call has added
+        self.spelled = [self.text_of.get(i, "").encode() for i in range(len(self.symbols))]
+
+    @cached_property
+    def library(self):
+        """The library's normaliser and pre-tokenizer, for texts with unusual characters; the words go through the trie all the same."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def _symbols(self, token: str) -> list[str]:
         """The symbols that BPE starts from for this token."""
         if self.end and token.endswith(self.end) and len(token) > len(self.end):
             token = token[: -len(self.end)]
-            return [*token[:-1], token[-1] + self.end]
+            return [*token[:-1], sys.intern(token[-1] + self.end)]
         return list(token)
 
     def merged(self, symbols: list[str]) -> list[str]:
@@ -85,7 +101,7 @@ class TrieBpe:
         """Whether BPE leaves these two tokens side by side."""
         key = left << 32 | right
         if (known := self.pairs.get(key)) is None:
-            if len(self.pairs) >= MAX_PAIRS:
+            if len(self.pairs) * PER_PAIR >= PAIR_BYTES:
                 self.pairs.clear()
             known = self.pairs[key] = self.merged(self.symbols[left] + self.symbols[right]) == [self.text_of[left], self.text_of[right]]
         return known
@@ -102,16 +118,31 @@ class TrieBpe:
                 return token
         raise ValueError(f"no token ends {path[:n]!r}")
 
+    def _traced(self, word: str, last: list[int]) -> list[int]:
+        """The ids of a word from the states of its prefixes."""
+        token = self._state(word, len(word), last, self.end)
+        ids, at = [token], len(word) - len(self.symbols[token])
+        while at:
+            ids.append(last[at])
+            at -= len(self.symbols[last[at]])
+        return ids[::-1]
+
     def encode_words(self, words: list[str]) -> dict[str, list[int]]:
         """The ids of each word, given in the vocabulary's byte symbols."""
         root: dict = {}
+        done: dict[str, list[int]] = {}
         for w in words:
+            if len(w) > LONG:  # a branch of its own, walked without nodes
+                last = [0]
+                for n in range(1, len(w)):
+                    last.append(self._state(w, n, last, ""))
+                done[w] = self._traced(w, last)
+                continue
             node = root
             for c in w[:-1]:
                 node = node.setdefault(c, {})
             node.setdefault(None, []).append(w[-1])  # how words end here
-        done: dict[str, list[int]] = {}
-        # last[n] is the state at depth n of the present path, size[n] how many symbols that token has.
+        # last[n] is the state at depth n of the present path.
         last, stack, path = [0], [(0, "", root)], ""
         while stack:
             depth, symbol, node = stack.pop()
@@ -121,31 +152,32 @@ class TrieBpe:
                 last.append(self._state(path, depth, last, ""))
             for final in node.get(None, ()):
                 word = path[:depth] + final
-                token = self._state(word, depth + 1, last, self.end)
-                ids, at = [token], depth + 1 - len(self.symbols[token])
-                while at:
-                    ids.append(last[at])
-                    at -= len(self.symbols[last[at]])
-                done[word] = ids[::-1]
+                done[word] = self._traced(word, last)
             stack.extend((depth + 1, c, child) for c, child in node.items() if c is not None)
         return done
 
     def _learn(self, words: set[str], raw: bool) -> None:
         byte = self.byte
         spelled = {w: "".join([byte[b] for b in w.encode()]) for w in words} if raw else {w: w for w in words}
-        encoded = self.encode_words(sorted(set(spelled.values())))
-        for w, s in spelled.items():
-            key = w if raw else f"\0{w}"
-            self.ids[key] = np.array(encoded[s], "<u4").tobytes()
-            self.texts[key] = " ".join([self.text_of[i] for i in encoded[s]]).encode()
+        order = sorted(spelled, key=spelled.__getitem__)
+        for at in range(0, len(order), TOGETHER):  # neighbours in the order share their prefixes
+            part = order[at : at + TOGETHER]
+            encoded = self.encode_words([spelled[w] for w in part])
+            for w in part:
+                self._keep(w if raw else f"\0{w}", encoded[spelled[w]])
+
+    def _keep(self, key: str, ids: list[int]) -> None:
+        self.ids[key] = np.array(ids, "<u4").tobytes()
+        self.held += PER_WORD + len(key) + 4 * len(ids)
+        self.new.append(key)
 
     def _unusual(self, text: str) -> list[str]:
         """Keys of the words of a text with special tokens or unusual characters."""
         keys = []
         for piece in self.added_re.split(text) if self.added_re else [text]:
             if piece in self.added:
-                self.ids[f"\1{piece}"] = np.array([self.added[piece]], "<u4").tobytes()
-                self.texts[f"\1{piece}"] = piece.encode()
+                if f"\1{piece}" not in self.ids:
+                    self._keep(f"\1{piece}", [self.added[piece]])
                 keys.append(f"\1{piece}")
             elif piece:
                 words = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(piece))]
@@ -155,24 +187,32 @@ class TrieBpe:
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(packed 32-bit ids, decoded text in UTF-8) of each text."""
+        return list(self.encoded(texts))
+
+    def encoded(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """Like encode(), one text after the other, so that only their distinct words are held together."""
         usual = [not UNUSUAL.search(t) and not (self.added_re and self.added_re.search(t)) for t in texts]
-        split = [_WORDS.findall(t.lower()) if u else None for t, u in zip(texts, usual, strict=True)]
-        words = set().union(*(p for p in split if p is not None))
+        words: set[str] = set()
+        for t, u in zip(texts, usual, strict=True):
+            if u:
+                words.update(_WORDS.findall(t.lower()))
         fresh = words - self.ids.keys()
-        full = len(self.ids) + len(fresh) > MAX_WORDS
+        full = self.held >= WORD_BYTES
         if full and len(fresh) > STALE * len(words):
             self.ids.clear()
-            self.texts.clear()
+            self.held = 0
             fresh, full = words, False
+        self.new = []
         self._learn(fresh, raw=True)
-        ids, decoded, out = self.ids, self.texts, []
-        for t, p in zip(texts, split, strict=True):
-            keys = self._unusual(t) if p is None else p
-            out.append((b"".join(map(ids.__getitem__, keys)), b" ".join(map(decoded.__getitem__, keys))))
+        del words, fresh
+        ids, spelled = self.ids, self.spelled
+        for t, u in zip(texts, usual, strict=True):
+            packed = b"".join(map(ids.__getitem__, _WORDS.findall(t.lower()) if u else self._unusual(t)))
+            yield packed, b" ".join(map(spelled.__getitem__, np.frombuffer(packed, "<u4").tolist()))
         if full:
-            for w in fresh:
-                del ids[w], decoded[w]
-        return out
+            for k in self.new:
+                self.held -= PER_WORD + len(k) + len(self.ids.pop(k))
+        self.new = []
 
 
 def encoder_of(path: str) -> TrieBpe:
@@ -191,21 +231,13 @@ def trie_bpe(docs: DataFrame, vocabulary_path: str, with_text: bool = False) ->
             texts, start = f["text"].tolist(), 0
             while start < len(texts):
                 stop, size = start, 0
-                while stop < len(texts) and (stop == start or size + len(texts[stop]) <= 2_000_000):
+                while stop < len(texts) and (stop == start or size + len(texts[stop]) <= RUN):
                     size += len(texts[stop])
                     stop += 1
-                done = coder.encode(texts[start:stop])
-                out = pd.DataFrame(
-                    {
-                        "doc_id": f["doc_id"].iloc[start:stop].astype("Int64").to_numpy(dtype=object, na_value=None),
-                        "n_tokens": [len(i) // 4 for i, _ in done],
-                        "ids_sha256": [hashlib.sha256(i).hexdigest() for i, _ in done],
-                        "decoded_sha256": [hashlib.sha256(d).hexdigest() for _, d in done],
-                    }
-                )
-                if with_text:
-                    out["ids"] = [np.frombuffer(i, "<u4").astype("int64") for i, _ in done]
-                    out["decoded"] = [d.decode() for _, d in done]
+                # Texts and ids are held only as far as they are asked for.
+                done = [(len(i) // 4, hashlib.sha256(i).hexdigest(), hashlib.sha256(d).hexdigest(), *((np.frombuffer(i, "<u4").astype("int64"), d.decode()) if with_text else ())) for i, d in coder.encoded(texts[start:stop])]
+                out = pd.DataFrame(done, columns=["n_tokens", "ids_sha256", "decoded_sha256", *(("ids", "decoded") if with_text else ())])
+                out.insert(0, "doc_id", f["doc_id"].iloc[start:stop].astype("Int64").to_numpy(dtype=object, na_value=None))
                 yield out
                 start = stop
 
