@@ -17,27 +17,27 @@ def connected_components(links: DataFrame) -> DataFrame:
     vanish in a round. Each round is a written table: a lost executor repeats one round at most. Empty links give no row.
     """
     links = materialise(links.select("a", "b").filter("a <> b").distinct(), "links")
-    names = None
-    while True:
+    rounds: list[DataFrame] = []
+    while not links.isEmpty():
         both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("to"))
-        hooks = materialise(hooks, "hooks")
         next_up = hooks.select(F.col("id").alias("to"), F.col("to").alias("up"))
         jumped = materialise(hooks.join(next_up, "to").select("id", F.col("up").alias("to")), "jumped")
-        drop_table(hooks)
-        if names is None:
-            renamed = materialise(jumped.select("id", F.col("to").alias("component")), "names")
-        else:
-            up = jumped.select(F.col("id").alias("component"), F.col("to").alias("up"))
-            renamed = materialise(names.join(up, "component", "left").select("id", F.coalesce("up", "component").alias("component")), "names")
-            drop_table(names)
-        names = renamed
-        end = lambda c: jumped.select(F.col("id").alias(c), F.col("to").alias(f"{c}_to"))
+        rounds.append(jumped)
+        end = lambda c: jumped.select(F.col("id").alias(c), F.col("to").alias(f"{c}_to"))  # noqa: E731, B023
         left = links.join(end("a"), "a").join(end("b"), "b").select(F.col("a_to").alias("a"), F.col("b_to").alias("b"))
         fewer = materialise(left.filter("a <> b").distinct(), "links")
         drop_table(links)
-        drop_table(jumped)
         links = fewer
-        if links.isEmpty():
-            drop_table(links)
-            return names
+    drop_table(links)
+    if not rounds:
+        return links.sparkSession.createDataFrame([], "id long, component long")
+    # What a vertex of the first round was called after the last: the rounds' tables shrink by half at least, and there are few.
+    names = rounds[0].select("id", F.col("to").alias("component"))
+    for jumped in rounds[1:]:
+        up = jumped.select(F.col("id").alias("component"), F.col("to").alias("up"))
+        names = names.join(up, "component", "left").select("id", F.coalesce("up", "component").alias("component"))
+    names = materialise(names, "components")
+    for jumped in rounds:
+        drop_table(jumped)
+    return names

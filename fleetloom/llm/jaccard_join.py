@@ -28,10 +28,10 @@ from itertools import groupby
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_table, forget, materialise, materialise_bucketed, release, ship, worker_memory
+from .common import drop_table, forget, fresh_names, materialise, materialise_bucketed, ship, shuffle_partitions, worker_memory
 from .components import connected_components
 
 WORDS = 5
@@ -41,6 +41,8 @@ NUM, DEN = 3, 4
 MIN_SHOWN, SHOWN = 128, 0.33
 #: Candidates that one search against a leader compares; members and queries of a block of differences.
 CHUNK, MEMBERS, QUERIES = 256, 2_048, 1_024
+#: Shares of the rows that show a hot key, in all and in one task; rows at least.
+HOT, HOT_HERE, HOT_LEAST = 0.002, 0.01, 64
 #: Bits of the fixed-size filter that spares unconcerned documents from being cut into shingles again.
 FILTER_BITS = 1 << 24
 DROP_BITS = 1 << 22
@@ -224,8 +226,7 @@ def _groups(frames: Iterator[pd.DataFrame], columns: list[str], n_keys: int) ->
 
 
 def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, *keys).sortWithinPartitions(*keys, F.desc("is_query"))
+    return rows.repartition(shuffle_partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys, F.desc("is_query"))
 
 
 def _unsigned(x) -> np.ndarray:
@@ -238,10 +239,10 @@ def _beside_leaders(pairs: DataFrame, sets: DataFrame, *more: str) -> DataFrame:
     pairs(leader, sig, more..) has a row for the leader itself where more columns are asked for. A leader with many candidates is met
     in several chunks.
     """
-    counts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("n_chunks"))
-    dealt = pairs.join(counts, "leader")
-    candidates = dealt.select("leader", F.pmod(F.xxhash64("sig"), F.col("n_chunks")).cast("int").alias("chunk"), F.lit(False).alias("is_query"), "sig", *more)
-    own = dealt.filter("leader = sig") if more else dealt.select("leader", F.col("leader").alias("sig"), "n_chunks").distinct()
+    # Written, so that the joins below meet a table: nothing above them needs a leader's rows together, so Spark may split a leader that many sets share.
+    counts = materialise(pairs.groupBy("leader").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("n_chunks")), "leaders")
+    candidates = pairs.join(counts, "leader").select("leader", F.pmod(F.xxhash64("sig"), F.col("n_chunks")).cast("int").alias("chunk"), F.lit(False).alias("is_query"), "sig", *more)
+    own = pairs.filter("leader = sig").join(counts, "leader") if more else counts.withColumn("sig", F.col("leader"))
     heads = own.select("leader", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("chunk"), F.lit(True).alias("is_query"), "sig", *more)
     return _dealt(heads.union(candidates).join(sets, "sig").select("leader", "chunk", "is_query", "sig", *more, "elements"), "leader", "chunk")
 
@@ -314,9 +315,13 @@ def linked_by_differences(queries: list[tuple[int, int, np.ndarray]], members: l
 def _linked_under_leaders(groups: DataFrame, sets: DataFrame) -> DataFrame:
     """Links a, b between the sets under each leader; groups(leader, sig, component). Sets in the leader's own component don't ask."""
     homes = groups.filter("leader = sig").select("leader", F.col("component").alias("home"))
-    asks = F.sum((F.col("component") != F.col("home")).cast("int"))
-    sizes = groups.join(homes, "leader").groupBy("leader").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("n_mb"), F.ceil(asks / QUERIES).cast("int").alias("n_qb"))
-    placed = materialise(_differences(groups.join(sizes.filter("n_qb > 0"), "leader"), sets), "differences")
+    # Counted by component first, so that a leader's many rows are few before they meet.
+    parts = groups.groupBy("leader", "component").agg(F.count("*").alias("rows")).join(homes, "leader")
+    asks = F.sum(F.when(F.col("component") != F.col("home"), F.col("rows")).otherwise(0))
+    sizes = parts.groupBy("leader").agg(F.ceil(F.sum("rows") / MEMBERS).cast("int").alias("n_mb"), F.ceil(asks / QUERIES).cast("int").alias("n_qb"))
+    sizes = materialise(sizes.filter("n_qb > 0"), "leader-sizes")
+    groups = materialise(groups.join(sizes, "leader"), "dealt-groups")
+    placed = materialise(_differences(groups, sets), "differences")
     mine, theirs = F.pmod(F.xxhash64("sig", F.lit(1)), F.col("n_mb")).cast("int"), F.pmod(F.xxhash64("sig", F.lit(2)), F.col("n_qb")).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     rest = ("sig", "component", "n", "missing", "base", "diff")
@@ -363,9 +368,52 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 sets = _shingler().sets(texts[a:b])
                 yield pd.DataFrame({"ref": f["ref"].iloc[a:b], "has_id": f["has_id"].iloc[a:b], "sig": [_signature(s) for s in sets], "elements": [s.view(np.int64) for s in sets]})
 
-    cut = _keyed(docs).withColumn("slot", slot).mapInPandas(run, "ref long, has_id boolean, sig long, elements array<long>")
+    n = shuffle_partitions(docs.sparkSession)
+    cut = _keyed(docs).withColumn("slot", slot).mapInPandas(run, "ref long, has_id boolean, sig long, elements array<long>").repartition(n, "sig")
     first = wanted.select("sig", F.col("ref").alias("first_ref"), F.col("has_id").alias("first_has_id"))
-    return cut.join(first, "sig").filter("ref = first_ref AND has_id = first_has_id").select("sig", "elements")
+    # Written as differences, since equalities would join the key and deal the rows anew by all of it, away from their buckets.
+    same = "(ref ^ first_ref) = 0 AND (CAST(has_id AS INT) ^ CAST(first_has_id AS INT)) = 0"
+    return cut.join(first, "sig").filter(same).select("sig", "elements")
+
+
+def _hot_keys(shown_rows: DataFrame, n_rows: int) -> DataFrame:
+    """key, df: keys that a large share of the sets show. Which keys count as hot decides only how they are counted, not what is found.
+
+    A task names the keys that HOT_HERE of its rows show; those that make up HOT of all rows stay, so with the rows' bounded
+    number of shown elements there are at most 1 / HOT times that number.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
+        keys, counts, rows = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        for f in frames:
+            rows += len(f)
+            one, many = np.unique(np.concatenate([np.zeros(0, np.int64), *f["keys"]]), return_counts=True)
+            both = np.concatenate([keys, one])
+            keys, at = np.unique(both, return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, many])).astype(np.int64)
+            # What is rarer than this cannot be hot here any more unless it comes again as often; that is counted from then on.
+            keep = counts >= HOT_HERE / 4 * rows
+            keys, counts = keys[keep], counts[keep]
+        keep = counts >= max(HOT_LEAST, HOT_HERE / 2 * rows)
+        yield pd.DataFrame({"key": keys[keep], "n": counts[keep]})
+
+    found = shown_rows.select("keys").filter("size(keys) > 0").mapInPandas(run, "key long, n long")
+    return found.groupBy("key").agg(F.sum("n").alias("df")).filter(F.col("df") >= max(HOT_LEAST, int(HOT * n_rows)))
+
+
+def _apart(hot: Column) -> Column:
+    """A number that deals the rows of a hot key to many tasks, 0 for other keys."""
+    return F.when(hot, F.pmod(F.xxhash64("sig"), F.lit(1 << 16))).otherwise(0)
+
+
+def _over_keys(rows: DataFrame, **sums: Column) -> DataFrame:
+    """rows(key, hot, sig, ..) with aggregates over their key. Rows of a hot key stay apart and meet partial aggregates instead of each other."""
+    # Hot keys are bounded in number, see _hot_keys().
+    of_hot = rows.filter("hot").groupBy("key").agg(*(x.alias(f"{n}_of_hot") for n, x in sums.items()))
+    own = Window.partitionBy("key", "apart")
+    met = rows.join(F.broadcast(of_hot), "key", "left").withColumn("apart", _apart(F.col("hot")))
+    return met.select(*rows.columns, *(F.when(F.col("hot"), F.col(f"{n}_of_hot")).otherwise(x.over(own)).alias(n) for n, x in sums.items()))
 
 
 def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -373,50 +421,55 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     ship(spark)
     shown_rows = materialise(signatures(docs), "signatures")
-    key = Window.partitionBy("key")
-    rows = shown_rows.filter("n > 0").select(F.explode("keys").alias("key"), "sig", "n", "need")
-    rows = rows.select("key", "sig", "n", "need", (F.min("sig").over(key) != F.max("sig").over(key)).alias("shared"), F.count("*").over(key).alias("df"))
-    rows = rows.filter("shared").select("key", "sig", "n", "need", "df").distinct()
-    own = Window.partitionBy("sig")
+    hot = materialise(_hot_keys(shown_rows, shown_rows.count()), "hot-keys")
+    # Of all that is dealt this is the most, so its rows are short: n and need in one number, and a mark, which is 0 but for hot keys; theirs is df and a number apart.
+    rows = shown_rows.filter("n > 0").select(F.explode("keys").alias("key"), "sig", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("need")).alias("sizes"))
+    rows = rows.join(F.broadcast(hot), "key", "left")
+    rows = rows.select("key", "sig", "sizes", F.coalesce(F.shiftleft("df", 16) + _apart(F.lit(True)), F.lit(0)).cast("long").alias("mark"))
+    # A hot key counts as shared; that holds back nothing, as any order of the keys that is the same for all sets will do.
+    key, own = Window.partitionBy("key", "mark"), Window.partitionBy("sig")
+    is_hot = F.col("mark") != 0
+    shared = is_hot | (F.min("sig").over(key) != F.max("sig").over(key))
+    rows = rows.select("*", F.when(is_hot, F.shiftright("mark", 16)).otherwise(F.count("*").over(key)).alias("df"), shared.alias("shared"))
+    # A key and a set have one mark; with it among the columns the rows are told apart where they are.
+    rows = rows.filter("shared").select("key", "mark", "sig", "sizes", "df").distinct()
+    rows = rows.select("key", is_hot.alias("hot"), "sig", F.shiftright("sizes", 32).cast("int").alias("n"), F.col("sizes").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("need"), "df")
+    rows = rows.repartition(shuffle_partitions(spark), "sig")
     rows = rows.select("*", F.count("*").over(own).alias("s"), F.row_number().over(own.orderBy("df", "key")).alias("r"))
-    rows = rows.filter("s >= need AND r <= s - need + 1").select("key", "sig", "n", (F.col("s") - F.col("need") + 1).alias("held"))
+    rows = rows.filter("s >= need AND r <= s - need + 1").select("key", "hot", "sig", "n", (F.col("s") - F.col("need") + 1).alias("held"))
     rows = materialise_bucketed(rows, "join-keys", "sig")
     all_rows = materialise(shown_rows.select("doc_id", "n", "sig", "text_key"), "classes")
     drop_table(shown_rows)
-    release(spark)
+    drop_table(hot)
     # One document stands for each class, by its text where no row of the class has an id; a class may have several rows with its smallest id.
     concerned = rows.select("sig").distinct()
     stands = all_rows.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first_id"), F.min("text_key").alias("first_key"))
     wanted = stands.select("sig", F.coalesce("first_id", "first_key").alias("ref"), F.col("first_id").isNotNull().alias("has_id")).join(concerned, "sig")
-    wanted = materialise(wanted, "wanted")
+    wanted = materialise(wanted.hint("rebalance"), "wanted")
     # A repeated row of a class's document gives its set twice, which costs a comparison and changes no result.
     sets = materialise_bucketed(_sets_of(docs, wanted), "sets", "sig")
-    release(spark)
-    first = F.struct("sig", "n")
-    led = rows.withColumn("lead", F.min(first).over(key)).select("key", "sig", "n", F.col("lead.sig").alias("leader"), F.col("lead.n").alias("leader_n"))
+    drop_table(wanted)
+    led = _over_keys(rows.select("key", "hot", "sig", "n"), lead=F.min(F.struct("sig", "n"))).select("sig", "n", F.col("lead.sig").alias("leader"), F.col("lead.n").alias("leader_n"))
     pairs = led.filter(f"sig <> leader AND {DEN} * least(n, leader_n) >= {NUM} * greatest(n, leader_n)").select("leader", "sig").distinct()
-    found = materialise(_linked_to_leaders(materialise(pairs, "pairs"), sets), "found")
-    release(spark)
-    components = connected_components(found)
-    named = rows.join(components.withColumnRenamed("id", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    many = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
-    still = named.join(many, "key").select("key", "sig", "held", "component")
-    # The set that is under most keys leads all its keys, and a leader's sets go to the busiest leader that it has itself:
-    # so sets of one family meet under few leaders.
-    busy = still.withColumn("lead", F.max(F.struct("held", "sig")).over(key))
+    pairs = materialise(pairs, "pairs")
+    components = connected_components(_linked_to_leaders(pairs, sets))
+    drop_table(pairs)
+    named = rows.join(components.withColumnRenamed("id", "sig"), "sig", "left").select("key", "hot", "sig", "held", F.coalesce("component", "sig").alias("component"))
+    # A key whose sets are not all in one component is open. The set that is under most keys leads all its keys, and a leader's sets go to the
+    # busiest leader that it has itself: so sets of one family meet under few leaders.
+    busy = _over_keys(named, lo=F.min("component"), hi=F.max("component"), lead=F.max(F.struct("held", "sig"))).filter("lo <> hi")
     led = materialise(busy.select(F.col("lead.held").alias("held"), F.col("lead.sig").alias("leader"), "sig", "component").distinct(), "led")
     tops = led.groupBy(F.col("sig").alias("leader")).agg(F.max(F.struct("held", "leader")).alias("top"))
     moved = led.join(tops, "leader").select(F.col("top.leader").alias("leader"), "sig", "component")
     heads = led.filter("leader = sig").select("leader", "sig", "component").join(moved.select("leader").distinct(), "leader", "left_semi")
     groups = materialise(moved.union(heads).distinct(), "groups")
     drop_table(led)
-    release(spark)
     if not groups.isEmpty():
-        more = materialise(_linked_under_leaders(groups, sets), "found-more")
-        drop_table(components)
-        components = connected_components(found.union(more))
-    drop_table(sets)
-    drop_table(rows)
+        # A class and its component are a link that says as much as all that were found before.
+        before, components = components, connected_components(components.toDF("a", "b").union(_linked_under_leaders(groups, sets)))
+        drop_table(before)
+    for done in (groups, sets, rows):
+        drop_table(done)
     return all_rows.select("doc_id", "n", "sig"), components.select(F.col("id").alias("sig"), "component")
 
 
@@ -424,7 +477,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_shingles, component_id (the smallest doc_id that links reach)."""
     rows, classes = similar_classes(docs)
     named = rows.join(classes, "sig", "left").select("doc_id", "n", F.coalesce("component", "sig").alias("component"))
-    first = named.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("first_id"))
+    # Written, so that the join below meets a table and may split a component that holds many rows.
+    first = materialise(named.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("first_id")), "first-ids")
     out = named.join(first, "component", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("first_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
@@ -435,12 +489,12 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     Rows without an id stay. Of rows that repeat a kept id, equal texts stay once.
     """
     groups = jaccard_components(docs).filter("doc_id IS NOT NULL")
-    kept = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("_stays"), F.count("*").alias("_rows"))
+    key, stays, many = fresh_names(docs, "id", "stays", "rows")
+    kept = groups.groupBy(F.col("doc_id").alias(key)).agg(F.max(F.col("doc_id") == F.col("component_id")).alias(stays), F.count("*").alias(many))
     kept = materialise(kept, "kept-ids")
-    release(docs.sparkSession)
     # Documents whose slot in a bitmap of fixed size holds no dropped or repeated id stay without a join, so only the others' texts move.
-    slot = lambda: F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(DROP_BITS))
-    doubt = kept.filter("NOT _stays OR _rows > 1").select(slot().alias("slot"))
+    slot = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(DROP_BITS))
+    doubt = kept.filter(~F.col(stays) | (F.col(many) > 1)).select(slot(key).alias("slot"))
     words = doubt.groupBy(F.shiftright("slot", 6).cast("int").alias("number")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits")).collect()
     if not words:
         return docs
@@ -448,9 +502,10 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     for r in words:
         bitmap[r.number] = r.bits
     bits = F.split(F.lit(",".join(map(str, bitmap))), ",").cast("array<bigint>")
-    held = F.coalesce(F.getbit(F.get(bits, F.shiftright(slot(), 6).cast("int")), slot().bitwiseAND(63).cast("int")) == 1, F.lit(False))
-    rows = docs.filter(held).join(kept.filter("_stays"), "doc_id").select(*docs.columns, "_rows")
-    once = rows.filter("_rows = 1").drop("_rows")
-    if not kept.filter("_stays AND _rows > 1").isEmpty():
-        once = once.union(rows.filter("_rows > 1").drop("_rows").dropDuplicates(["doc_id", "text"]))
+    mine = slot("doc_id")
+    held = F.coalesce(F.getbit(F.get(bits, F.shiftright(mine, 6).cast("int")), mine.bitwiseAND(63).cast("int")) == 1, F.lit(False))
+    rows = docs.filter(held).join(kept.filter(stays), F.col("doc_id").cast("long") == F.col(key)).select(*docs.columns, many)
+    once = rows.filter(F.col(many) == 1).drop(many)
+    if not kept.filter(F.col(stays) & (F.col(many) > 1)).isEmpty():
+        once = once.union(rows.filter(F.col(many) > 1).drop(many).dropDuplicates(["doc_id", "text"]))
     return docs.filter(~held).union(once)
