@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetloom.llm.common import materialise, read_table
+from fleetloom.llm.common import drop_table, materialise, read_table
 from fleetloom.llm.jaccard_join import drop_near_copies
 from fleetloom.llm.mixing import mix
 from fleetloom.llm.secret_scan import redact_secrets
@@ -57,8 +57,9 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written before the next reads it."""
+    """All stages over documents, each written before the next reads it; what no stage reads any more is deleted."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"corpus-{name}")
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), f"corpus-{name}")
+        drop_table(before)
     return STAGES[-1][1](spark, docs, sf_dir)
