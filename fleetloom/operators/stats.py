@@ -56,6 +56,11 @@ def sliding(order: Sequence[str], keys: Sequence[str], n: int):
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(n - 1), Window.currentRow)
 
 
+def sliding_time(ms: str, keys: Sequence[str], length_ms: int):
+    """The window of the last length_ms milliseconds, the row's own time included."""
+    return Window.partitionBy(*keys).orderBy(ms).rangeBetween(-length_ms, Window.currentRow)
+
+
 def order_violations(df: DataFrame, time: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows earlier than the last accepted row; a rejected row doesn't move that, so it is the running maximum."""
     before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

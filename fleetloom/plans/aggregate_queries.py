@@ -162,6 +162,12 @@ def w01(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", F.round(F.avg("o_totalprice").over(w), 4).alias("mean"), F.count("*").over(w).alias("n"), F.round(F.min("o_totalprice").over(w), 2).alias("lo"))
 
 
+@query("w01_sliding_time", over_views("SELECT event_id, count(*) OVER w AS n, round(avg(heading) OVER w, 5) AS mean FROM vehicle_reports WINDOW w AS (PARTITION BY vehicle_id ORDER BY unix_ms RANGE BETWEEN 86400000 PRECEDING AND CURRENT ROW)"))
+def w01_time(spark: SparkSession, d: str) -> DataFrame:
+    w = stats.sliding_time("unix_ms", ["vehicle_id"], 86_400_000)
+    return vehicle_reports(spark, d).select("event_id", F.count("*").over(w).alias("n"), F.round(F.avg("heading").over(w), 5).alias("mean"))
+
+
 @query("w02_cumulative", "SELECT o_orderkey, round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING), 2) AS running FROM orders")
 def w02(spark: SparkSession, d: str) -> DataFrame:
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(Window.unboundedPreceding, Window.currentRow)

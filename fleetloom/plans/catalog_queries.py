@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import spatial
 from ..sources import archives, catalog, csv_rows, feed_xml
 from .core import query
 from .fixtures import PATHS, ROUTES, over_views, path_segments, table, vehicle_reports
@@ -65,6 +66,11 @@ def m01(spark: SparkSession, d: str) -> DataFrame:
     return r.select("route_tag", "title", "color", "lat_min", "lat_max", "lon_min", "lon_max", F.array_join("errors", "; ").alias("errors"))
 
 
+@query("s16_until_first_bad", "SELECT CAST(range AS VARCHAR) AS route_tag FROM range(6)")
+def s16(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.until_first_bad(catalog.routes(catalogue(spark)), "route_tag").select("route_tag")
+
+
 @query("m02_stops", over_views("SELECT 's' || rs.p AS stop_tag, min(title) AS title, CAST(rs.p AS VARCHAR) AS stop_id, min(lat) AS lat, min(lon) AS lon, count(DISTINCT title) > 1 AS mismatch FROM rs JOIN w ON w.p = rs.p AND k = 0 GROUP BY rs.p", *_CATALOG))
 def m02(spark: SparkSession, d: str) -> DataFrame:
     return catalog.stops(catalogue(spark)).select("stop_tag", "title", "stop_id", "lat", "lon", c("title_mismatch").alias("mismatch"))
@@ -98,6 +104,14 @@ def m04(spark: SparkSession, d: str) -> DataFrame:
     return paths.join(tags, "path_index").select("path_index", "routes", F.size("waypoints").cast("long").alias("points"), F.round(total, 5).alias("lat_sum"))
 
 
+@query("j04_segments", over_views("SELECT path_index, s.k AS seg_index, round(sqrt(power(t.lon - s.lon, 2) + power(t.lat - s.lat, 2)), 6) AS length FROM ix JOIN w s ON s.p = ix.p JOIN w t ON t.p = ix.p AND t.k = s.k + 1", *_CATALOG, _PATHS_SQL))
+def j04(spark: SparkSession, d: str) -> DataFrame:
+    """Segments from the catalogue's paths."""
+    points = catalog.paths(catalogue(spark))[0].select("path_index", F.posexplode("waypoints").alias("position", "p"))
+    points = points.select("path_index", c("position").cast("long").alias("position"), c("p.lon").alias("x"), c("p.lat").alias("y"))
+    return spatial.directed_segments(points).select("path_index", "seg_index", F.round("length", 6).alias("length"))
+
+
 @query("m05_locations", over_views("SELECT lat, lon FROM w UNION SELECT 422e-1, -711e-1 UNION SELECT 0e0, 0e0 UNION SELECT 1423e-1, 0e0", *_CATALOG))
 def m05(spark: SparkSession, d: str) -> DataFrame:
     return catalog.locations(catalogue(spark)).select("lat", "lon")

@@ -26,9 +26,18 @@ def s04(spark: SparkSession, d: str) -> DataFrame:
     return done.select("event_id", "unix_ms", "heading", c("error").isNotNull().alias("rejected"))
 
 
-@query("s09_newest_rows", "SELECT event_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 500")
+@query("s09_newest_rows", "SELECT event_id FROM events WHERE CAST(ts AS DATE) IN (SELECT day FROM (SELECT day, sum(n) OVER (ORDER BY day DESC) - n AS before FROM (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL)) WHERE before < 500)")
 def s09(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").orderBy(F.desc("ts"), F.desc("event_id")).limit(500).select("event_id")
+    rows = table(spark, d, "events").select("event_id", "ts", F.to_date("ts").alias("file"))
+    return csv_rows.newest_files(rows, "file", "ts", 500).select("event_id")
+
+
+@query("k05_skip_done_days", over_views("SELECT event_id FROM vehicle_reports WHERE CAST(make_timestamp((unix_ms - 1) * 1000) AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) + CAST(date_diff('day', (SELECT min(CAST(o_orderdate AS DATE)) FROM orders), (SELECT min(CAST(ts AS DATE)) FROM events)) AS INT) FROM orders WHERE o_totalprice > 400000)"))
+def k05(spark: SparkSession, d: str) -> DataFrame:
+    orders, first = table(spark, d, "orders"), table(spark, d, "events").agg(F.min(F.to_date("ts")).alias("a"))
+    shift = orders.agg(F.min(F.to_date("o_orderdate")).alias("b")).crossJoin(first)  # one row each
+    done = orders.filter("o_totalprice > 400000").crossJoin(F.broadcast(shift)).select(F.date_add(F.to_date("o_orderdate"), F.date_diff("a", "b")).alias("day"))
+    return csv_rows.skip_done(vehicle_reports(spark, d), when.archive_day(c("unix_ms")), done).select("event_id")
 
 
 @query("s14_report_time", over_views("SELECT batch, CAST(max(unix_ms) // 1000 * 1000 + min(age) * 1000 AS BIGINT) AS report_ms, min(age) AS min_age, count(*) AS vehicles FROM (SELECT event_id // 10 AS batch, unix_ms, CAST(event_id * 7 % 60 AS INT) AS age FROM vehicle_reports) GROUP BY batch"))

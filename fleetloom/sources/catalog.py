@@ -34,6 +34,12 @@ def routes(r: DataFrame) -> DataFrame:
     )
 
 
+def until_first_bad(routes_df: DataFrame, order: str) -> DataFrame:
+    """Routes of the files before the first one, in this order, that has an error: what a scan of a directory holds when it stops."""
+    bad = routes_df.filter(F.size("errors") > 0).agg(F.min(order).alias("_bad"))
+    return routes_df.crossJoin(F.broadcast(bad)).filter(F.col("_bad").isNull() | (F.col(order) < F.col("_bad"))).drop("_bad")  # one row
+
+
 def stops(r: DataFrame) -> DataFrame:
     """stop_tag, title, stop_id, lat, lon with mismatch flags; a stop needs a tag, a title and a location other than 0, 0."""
     s = r.select(F.explode("stop").alias("s")).select(F.col("s._tag").alias("stop_tag"), F.col("s._title").alias("title"), F.col("s._stopId").alias("stop_id"), F.col("s._lat").alias("lat"), F.col("s._lon").alias("lon"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, when
@@ -27,6 +27,21 @@ def read(spark: SparkSession, paths: str | list[str], glob: str = "*.csv*") -> D
     return rows.withColumn("file", F.input_file_name()).filter(kept_path(F.col("file")))
 
 
+def newest_files(rows: DataFrame, file: str, newest: str, n: int) -> DataFrame:
+    """The rows of whole files, newest first, until there are n: every file that begins before the n-th row.
+
+    One count for each file, and one order over the files, which are few beside their rows; the rows are read by a semi-join.
+    """
+    counts = rows.groupBy(file).agg(F.count("*").alias("_n"), F.max(newest).alias("_at"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy(F.desc("_at"), file).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(counts.withColumn("_before", before).filter(F.col("_before") < n).select(file), file, "left_semi")
+
+
+def skip_done(df: DataFrame, day: Column, done: DataFrame) -> DataFrame:
+    """Rows of days that have no output yet. done(day): the days that have."""
+    return df.withColumn("_day", day).join(done.select(F.col("day").alias("_day")).distinct(), "_day", "left_anti").drop("_day")
+
+
 def parse(raw: DataFrame, latest_ms: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """Typed rows beside the raw ones: unix_ms, vehicle_id, route_tag, dir_tag, heading, lat, lon, error.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetloom.operators import merge
 from fleetloom.plans.table_queries import repeated_reports
-from fleetloom.sources import archives, catalog, csv_rows, feed_xml
+from fleetloom.sources import archives, catalog, csv_rows, feed_xml, replay
 from fleetloom.streaming import vehicle_merge
 
 c = F.col
@@ -106,6 +106,20 @@ def test_archive_entries(spark, tmp_path):
     assert [r.k for r in kinds.collect()] == ["xml", "html", "unknown"]
 
 
+def test_replayed_responses(spark, tmp_path):
+    for i in range(7):
+        (tmp_path / f"in/day{i % 2}").mkdir(parents=True, exist_ok=True)
+        (tmp_path / f"in/day{i % 2}/{1350562779900 + i}.xml").write_text(f"<body><lastTime time='{i}'/></body>")
+    spark.dataSource.register(replay.ReplaySource)
+    assert spark.read.format("replay").load(str(tmp_path / "in")).count() == 7
+    stream = spark.readStream.format("replay").option("per_batch", "3").load(str(tmp_path / "in"))
+    sizes = []
+    query = stream.writeStream.foreachBatch(lambda b, i: sizes.append([r.xml for r in b.collect()])).option("checkpointLocation", str(tmp_path / "cp")).start()
+    query.processAllAvailable()
+    query.stop()
+    assert [len(x) for x in sizes if x] == [3, 3, 1] and [x for b in sizes for x in b] == [f"<body><lastTime time='{i}'/></body>" for i in range(7)]
+
+
 def test_token_bucket():
     use = vehicle_merge.token_bucket(100, 100)
     steps = [((1, 1), (100 - 0, 0)), ((1, 0), (99, 0))]
