@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import when
-from ..operators import diff, merge, order
+from ..operators import diff, merge, order, release
 from ..sources import csv_rows
 from .fixtures import over_views, table, vehicle_reports
 from .core import query
@@ -158,6 +158,13 @@ def z01(spark: SparkSession, d: str) -> DataFrame:
     return merge.merge_reports(repeated_reports(spark, d), "arrival").select("vehicle_id", "unix_ms", "dir_tag")
 
 
+@query("z06_ordered_release")
+def z06(spark: SparkSession, d: str) -> DataFrame:
+    """Eight feeds, one for each route, whose responses are the reports of a quarter of an hour."""
+    r = vehicle_reports(spark, d).withColumn("response", F.expr("unix_ms DIV 900000"))
+    return release.release_reports(r, "response", feed="route_tag").select("feed", "place", "vehicle_id", "unix_ms", "dir_tag")
+
+
 @query("z02_late_drops", over_views("SELECT vehicle_id, CAST(sum(CASE WHEN unix_ms < before THEN 1 ELSE 0 END) AS BIGINT) AS late FROM (SELECT vehicle_id, unix_ms, max(unix_ms) OVER (PARTITION BY vehicle_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM vehicle_reports) GROUP BY vehicle_id"))
 def z02(spark: SparkSession, d: str) -> DataFrame:
     # Places of events differ, so nothing merges and each report older than the newest before it is a drop.

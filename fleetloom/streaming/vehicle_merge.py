@@ -92,6 +92,12 @@ def write_days(stream: DataFrame, path: str, checkpoint: str, raw_path: str | No
     return stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).outputMode("append").trigger(**(trigger or {"availableNow": True})).start()
 
 
+def write_raw(reports: DataFrame, path: str, checkpoint: str, zone: str = "UTC", **trigger):
+    """Start a query that appends the reports as they came to Parquet under day=, beside the one that merges them."""
+    dated = reports.withColumn("day", when.archive_day(F.col("unix_ms"), zone))
+    return dated.writeStream.format("parquet").partitionBy("day").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(**(trigger or {"availableNow": True})).start()
+
+
 def close_day(spark: SparkSession, path: str, day: str) -> DataFrame:
     """A closed day's rows in order of time and vehicle."""
     return spark.read.parquet(path).filter(F.col("day") == F.lit(day).cast("date")).orderBy("unix_ms", "vehicle_id")

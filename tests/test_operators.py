@@ -1,5 +1,6 @@
 """Spatial joins against plain loops, statistics against numpy, merging, partition plans, diffs, refit; plans without nested loops."""
 
+import itertools
 import math
 import random
 import time
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetloom.functions import geom
-from fleetloom.operators import diff, fit, histogram, merge, order, partition, raster, refit, spatial, stats
+from fleetloom.operators import diff, fit, histogram, merge, order, partition, raster, refit, release, spatial, stats
 from fleetloom.plans import join_queries
 
 c = F.col
@@ -341,6 +342,31 @@ def test_merge_of_a_busy_vehicle_and_of_missing_tags(spark):
     assert got == sorted((w[1], w[3], dropped) for w in want)
 
 
+RESPONSES = [
+    # (response, vehicle, ms, heading): b falls silent, c comes late, a repeats itself
+    (1, "a", 10_000, 1), (1, "b", 9_000, 1), (2, "a", 10_500, 1), (2, "c", 12_000, 1), (3, "a", 20_000, 2), (3, "c", 21_000, 2), (4, "a", 30_000, 3), (4, "c", 29_000, 3),
+    (5, "a", 40_000, 4), (5, "c", 41_000, 4), (6, "a", 50_000, 5), (6, "c", 50_000, 5), (7, "c", 60_000, 6),
+]
+
+
+def test_release_in_order_of_time(spark):
+    rows = [("f", r, v, ms, "1", "d", h, 1.0, 2.0) for r, v, ms, h in RESPONSES] + [("g", 1, "x", 5, None, None, None, 1.0, 2.0), ("g", 2, None, 6, "1", "d", 1, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "feed string, response int, vehicle_id string, unix_ms long, route_tag string, dir_tag string, heading int, lat double, lon double")
+    got = release.release_reports(df, "response").orderBy("feed", "place").collect()
+    # b counts as recent up to the fourth response, so the watermark stays at 6,000; with the fifth it is that of a and c: 37,000, and b, 28 s behind it, goes.
+    want = [("b", 9_000, 37_000), ("a", 10_250, 37_000), ("c", 12_000, 37_000), ("a", 20_000, 37_000), ("c", 21_000, 37_000), ("c", 29_000, 37_000), ("a", 30_000, 37_000)]
+    want += [("a", 40_000, 47_000), ("c", 41_000, 47_000), ("a", 50_000, 47_000), ("c", 50_000, 47_000), ("c", 60_000, 47_000)]
+    assert [(r.vehicle_id, r.unix_ms, r.watermark_ms) for r in got if r.feed == "f"] == want
+    assert [r.place for r in got if r.feed == "f"] == list(range(1, len(want) + 1))
+    assert [(r.vehicle_id, r.unix_ms, r.heading) for r in got if r.feed == "g"] == [("x", 5, None)]
+    feed = release.Feed()
+    out = []
+    for _, own in itertools.groupby(RESPONSES, key=lambda r: r[0]):
+        out += feed.respond((v, ms, "1", "d", h, 1.0, 2.0) for _, v, ms, h in own)
+        feed = release.Feed.load(feed.dump())  # as a stream's state is kept
+    assert [(v, ms, w) for _, w, v, ms, *_ in [*out, *feed.close()]] == want
+
+
 def test_bounded_sort(spark):
     rng = random.Random(5)
     rows = [(k, i, rng.randrange(10_000) if rng.random() < 0.05 else i + rng.randrange(-20, 20)) for k in (1, 2, None) for i in range(700)]

@@ -6,7 +6,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from fleetloom.operators import merge
+from fleetloom.operators import merge, release
 from fleetloom.plans.table_queries import repeated_reports
 from fleetloom.sources import archives, catalog, csv_rows, feed_xml, replay
 from fleetloom.streaming import vehicle_merge
@@ -149,6 +149,23 @@ def test_stream_equals_batch(spark, tmp_path):
     assert closed == sorted(closed, key=lambda x: (x.unix_ms, x.vehicle_id)) and spark.read.parquet(str(tmp_path / "raw")).count() == len(batch)
 
 
+def test_released_stream_equals_batch(spark, tmp_path):
+    rows = [("f", i // 5, f"v{i % 5}", 1_000_000 + i // 5 * 2_500 + i % 5 * 300, "1", "d", i // 10 % 7, 1.0, 2.0) for i in range(150) if i % 11]
+    schema = "feed string, response long, vehicle_id string, unix_ms long, route_tag string, dir_tag string, heading int, lat double, lon double"
+    df = spark.createDataFrame(rows, schema)
+    want = [tuple(r) for r in release.release_reports(df, "response").orderBy("place").collect()]
+    for k in range(3):
+        df.filter(c("response").between(10 * k, 10 * k + 9)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    # A feed that reports much later lets the first one close.
+    spark.createDataFrame([("later", 1, "x", 9_000_000, "1", "d", 1, 1.0, 2.0)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", vehicle_merge.ROCKSDB)
+    stream = release.release_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")))
+    query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    assert query.awaitTermination(180) and query.exception() is None
+    got = [tuple(r) for r in spark.read.schema(release.OUTPUT).parquet(str(tmp_path / "out")).filter("feed = 'f'").orderBy("place").collect()]
+    assert got == want and [r[4] for r in got] == sorted(r[4] for r in got)
+
+
 def test_steps_of_the_stream():
     s, out = vehicle_merge.step(None, (1000, "1", "a", 1, 2.0, 3.0))
     s, none = vehicle_merge.step(s, (1500, "1", "b", 1, 2.0, 3.0))
