@@ -91,8 +91,23 @@ def paths_xml(paths_df: DataFrame, path_routes: DataFrame) -> DataFrame:
     return paths_df.join(tags, "path_index").select("path_index", body.alias("xml")).orderBy("path_index")
 
 
+def canonical_xml(x: Column) -> Column:
+    """XML with what doesn't change its tree taken out: comments, blanks between elements, the order and quotes of attributes, short forms of empty elements."""
+    plain = F.trim(F.regexp_replace(F.regexp_replace(x, r"(?s)\s*<!--.*?-->\s*", ""), r">\s+<", "><"))
+    pieces = F.regexp_extract_all(plain, F.lit(r"(<(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>|[^<]+)"), F.lit(1))
+
+    def piece(t: Column) -> Column:
+        name = F.regexp_extract(t, r"^<(/?[^\s/>]+)", 1)
+        given = F.regexp_extract_all(t, F.lit(r"\s([^\s=/>]+\s*=\s*(?:\"[^\"]*\"|'[^']*'))"), F.lit(1))
+        attributes = F.sort_array(F.transform(given, lambda a: F.regexp_replace(a, r"(?s)^([^\s=]+)\s*=\s*[\"'](.*)[\"']$", '$1="$2"')))
+        opened = F.concat(F.lit("<"), name, F.array_join(F.transform(attributes, lambda a: F.concat(F.lit(" "), a)), ""), F.lit(">"))
+        closed = F.when(t.endswith("/>"), F.concat(F.lit("</"), name, F.lit(">"))).otherwise("")
+        return F.when(t.startswith("<?") | t.startswith("<!") | ~t.startswith("<"), t).otherwise(F.concat(opened, closed))
+
+    return F.array_join(F.transform(pieces, piece), "")
+
+
 def equal_configs(first: Column, second: Column) -> Column:
-    """Whether two configuration files say the same: equal bytes, or for XML equal after comments and blanks between elements go."""
-    plain = lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, r"(?s)[ \n]*<!--.*?-->[ \n]*", ""), r">\s+<", "><"))
+    """Whether two configuration files say the same: equal bytes, or for XML an equal tree."""
     xml = F.ltrim(first).startswith("<") & F.ltrim(second).startswith("<")
-    return (first == second) | (xml & (plain(first) == plain(second)))
+    return (first == second) | (xml & (canonical_xml(first) == canonical_xml(second)))

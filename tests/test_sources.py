@@ -69,6 +69,9 @@ def test_archive_names_and_comments(spark):
     assert kept == "<?xml version='1.0'?>\n<!--\nT=5\nURL=http://x\n-->\n<body/>"
     same = spark.range(1).select(catalog.equal_configs(F.lit("<a><!-- 1 --><b/></a>"), F.lit("<a>\n <b/></a>")).alias("x"), catalog.equal_configs(F.lit("a 1"), F.lit("a  1")).alias("y")).first()
     assert same.x and not same.y
+    pairs = [('<a x="1" y="2>"><b/></a>', "<a y='2>' x = '1'><b></b></a>", True), ('<a x="1"/>', '<a x="2"/>', False), ("<a>t  u</a>", "<a>t u</a>", False), ('<a x="1" y="2"/>', '<a x="1"/>', False)]
+    for one_, two, want in pairs:
+        assert spark.range(1).select(catalog.equal_configs(F.lit(one_), F.lit(two)).alias("x")).first().x is want
 
 
 def test_csv_round_trip(spark, tmp_path):
