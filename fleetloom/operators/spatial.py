@@ -42,12 +42,14 @@ def box_around(x: Column, y: Column, dx: float, dy: float) -> geom.Rect:
 
 
 def nearest_join(points: DataFrame, segments: DataFrame, point: geom.Point, ends: tuple[geom.Point, geom.Point], keys: Sequence[str], ties: Sequence[str], reach: float, on: Sequence[str] = ()) -> DataFrame:
-    """For each point (keys) the nearest segment within reach, with its distance; of equal ones the first by ties."""
+    """For each point the nearest segment within reach: keys, ties (its identity) and distance; of equal ones the first by ties.
+
+    Only these few columns go into the aggregate, which keeps the least of each point before anything is shuffled.
+    """
     _, _, away, _ = geom.closest(*ends, point)
     near = range_join(points, segments, box_around(*point, reach, reach), geom.bounds(*ends), 2 * reach, away <= reach, on).withColumn("distance", away)
-    rest = [c for c in near.columns if c not in keys]
-    best = near.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct("distance", *ties)).alias("_best"))
-    return best.select(*keys, "_best.*")
+    best = near.select(*keys, F.struct("distance", *ties).alias("_s")).groupBy(*keys).agg(F.min("_s").alias("_best"))
+    return best.select(*keys, *(F.col(f"_best.{t}") for t in ties), F.col("_best.distance").alias("distance"))
 
 
 def tolerant_match(reports: DataFrame, segments: DataFrame, directions: DataFrame, dx: float, dy: float, widen: float = 16.0) -> DataFrame:
