@@ -6,7 +6,9 @@ and of queries, so no task holds a whole cell; a block's product is one matrix m
 each of its vectors is linked to, not the pairs, and a forest of links with as many edges as vertices at most.
 
 A pair is counted once: a query counts all that it meets; a member also counts a query that it wouldn't meet itself.
-With one cell the result is exact; with more, a pair is missed when neither vector's home is among the other's probes.
+The number of cells follows the same rule at every size, half the square root of the number of classes, and the probes grow with the square root of the
+cells. A pair is missed when neither vector's home is among the other's probes; with cells=1, or as many probes as cells, the result is exact.
+The sample bounds the cells at MAX_SAMPLE / ROWS_A_CELL; beyond that (25 million classes) raise max_sample, or cells hold ever more vectors.
 
 Defined results: vectors that are null or empty, have null or non-finite components or no length link with nothing and are their own component;
 vectors of different lengths never link; rows of a repeated id give a row each; an empty table gives none; other columns are ignored.
@@ -14,6 +16,7 @@ vectors of different lengths never link; rows of a repeated id give a row each;
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +24,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, ship, shuffle_partitions
+from .common import drop_table, materialise, ship, shuffle_partitions
 from .components import connected_components
 
 THRESHOLD = 0.95
-#: Vectors that the centroids are fitted on at most (the expected number of a hashed sample), rounds, cells that a vector is asked for in.
-MAX_SAMPLE, ROUNDS, PROBES = 20_000, 10, 4
-#: Cells: one for up to SINGLE classes, else about half the square root of their number, up to MAX_CELLS.
-SINGLE, MAX_CELLS = 4_000, 2_048
+#: Vectors that the centroids are fitted on at most (the expected number of a hashed sample), rounds, rows of the sample for each cell.
+MAX_SAMPLE, ROUNDS, ROWS_A_CELL = 20_000, 10, 8
+#: Cells that a vector is asked for in at least.
+LEAST_PROBES = 4
 #: Members and queries of a block.
 MEMBERS, QUERIES = 1_024, 2_048
 
@@ -52,24 +55,34 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 7)
     return c
 
 
-def fit_cells(classes: DataFrame, max_sample: int = MAX_SAMPLE) -> dict[int, np.ndarray]:
+def n_cells(n: int, max_sample: int = MAX_SAMPLE) -> int:
+    """How many cells n classes have."""
+    return max(1, min(math.ceil(math.sqrt(n) / 2), max_sample // ROWS_A_CELL, n))
+
+
+def n_probes(k: int) -> int:
+    """In how many of k cells a vector is asked for."""
+    return min(k, max(LEAST_PROBES, math.ceil(math.sqrt(k) / 2)))
+
+
+def fit_cells(classes: DataFrame, max_sample: int = MAX_SAMPLE, cells: int | None = None) -> dict[int, np.ndarray]:
     """Centroids for each length of vectors among classes(sig, vector)."""
     out = {}
     # As many rows as there are lengths of vectors.
     for dim, n in ((r.dim, r.n) for r in classes.groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n")).collect()):
-        k = 1 if n <= SINGLE else int(min(MAX_CELLS, np.sqrt(n) / 2, max_sample / 8))
-        if k <= 1:
+        k = min(cells, n) if cells else n_cells(n, max_sample)
+        if k == 1:
             out[dim] = np.zeros((1, dim))
             continue
         own = classes.filter(F.size("vector") == dim)
         if n > max_sample:
             own = own.filter(F.pmod(F.xxhash64("sig", F.lit(5)), F.lit(1 << 30)) < int(max_sample / n * (1 << 30)))
         rows = sorted(own.select("sig", "vector").collect())
-        out[dim] = spherical_kmeans(_unit(r.vector for r in rows), k)
+        out[dim] = spherical_kmeans(_unit(r.vector for r in rows), min(k, len(rows)))
     return out
 
 
-def _assign(classes: DataFrame, cells: dict[int, np.ndarray], probes: int) -> DataFrame:
+def _assign(classes: DataFrame, cells: dict[int, np.ndarray], probes: int | None) -> DataFrame:
     """classes with home and probes: numbers of cells, apart for each length of vectors."""
     first, at = {}, 0
     for dim in sorted(cells):
@@ -79,7 +92,7 @@ def _assign(classes: DataFrame, cells: dict[int, np.ndarray], probes: int) -> Da
         for f in frames:
             for dim, own in f.groupby(f["vector"].map(len)):
                 near = _unit(own["vector"]) @ cells[dim].T
-                top = np.argsort(-near, axis=1, kind="stable")[:, :probes] + first[dim]
+                top = np.argsort(-near, axis=1, kind="stable")[:, : probes or n_probes(len(cells[dim]))] + first[dim]
                 yield own.assign(home=top[:, 0], probes=list(top))[["sig", "vector", "n", "home", "probes"]]
 
     kind = dict(classes.dtypes)["vector"]
@@ -144,8 +157,8 @@ def _compare(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.repartition(n, "cell", "mb", "qb").sortWithinPartitions("cell", "mb", "qb").mapInPandas(run, "sig long, other long, add long")
 
 
-def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, probes: int = PROBES, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
-    """vectors(vec_id, embedding) -> vec_id, n_links, component_id, kept."""
+def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, cells: int | None = None, probes: int | None = None, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
+    """vectors(vec_id, embedding) -> vec_id, n_links, component_id, kept. cells, probes: instead of those that follow from the number of classes."""
     spark: SparkSession = vectors.sparkSession
     ship(spark)
     v = F.col(column)
@@ -157,19 +170,19 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, probe
     ids = rows.select("vec_id", "sig")
     classes = rows.filter("sig IS NOT NULL").groupBy("sig").agg(F.first("vector").alias("vector"), F.count("*").alias("n"))
     classes = materialise(classes, "vector-classes")
-    cells = fit_cells(classes)
-    placed = materialise(_assign(classes, cells, probes), "placed")
+    placed = materialise(_assign(classes, fit_cells(classes, cells=cells), probes), "placed")
     asked = placed.select("sig", "vector", "n", "home", "probes", F.explode("probes").alias("cell"))
-    # One row for each cell: bounded by MAX_CELLS for each length of vectors.
+    # One row for each cell that has vectors; whether it is small enough to be broadcast is Spark's to decide by its size.
     sizes = placed.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("n_mb"))
     queries = asked.groupBy("cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("n_qb"))
-    blocks = F.broadcast(sizes.join(queries, "cell"))
+    blocks = sizes.join(queries, "cell")
     mine, theirs = F.pmod(F.xxhash64("sig", F.lit(1)), F.col("n_mb")).cast("int"), F.pmod(F.xxhash64("sig", F.lit(2)), F.col("n_qb")).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     common = ("sig", "vector", "n", "home", "probes")
     members = placed.withColumn("cell", F.col("home")).join(blocks, "cell").select("cell", mine.alias("mb"), every("n_qb").alias("qb"), F.lit(False).alias("is_query"), *common)
     queries = asked.join(blocks, "cell").select("cell", every("n_mb").alias("mb"), theirs.alias("qb"), F.lit(True).alias("is_query"), *common)
     met = materialise(_compare(members.union(queries), threshold), "met")
+    drop_table(placed)
     counts = met.filter("other IS NULL").groupBy("sig").agg(F.sum("add").alias("links"))
     components = connected_components(met.filter("other IS NOT NULL").select(F.col("sig").alias("a"), F.col("other").alias("b")))
     named = ids.join(components.withColumnRenamed("id", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
