@@ -17,6 +17,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,7 +34,10 @@ _ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*
 _ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # a run of 24 at least is the whole run: what can't match starts no later inside it
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.S)
+_PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----")
+_PEM_END = re.compile(r"-----END ([A-Z0-9 ]*PRIVATE KEY)(?=-----)")
+#: Bytes that an encoded private key has at most when it runs over several lines; the largest in use have a sixth of that.
+MAX_KEY = 1 << 16
 # A DER sequence starts with 0x30, an OpenSSH key with its magic, an encoded PEM block with dashes.
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-P][A-Za-z0-9+/_-]{6}|b3BlbnNzaC1rZXktdjE|LS0tLS1CRUdJTi)[A-Za-z0-9+/_-]*={0,2}")
 # What may follow on the next line of a wrapped run; line ends may be escaped.
@@ -124,17 +128,33 @@ def is_openssh_key(data: bytes) -> bool:
     return _openssh_size(data) is not None
 
 
+def pem_blocks(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and body of each PEM block of a private key: a begin mark and the next end mark of its kind, without overlaps."""
+    ends: dict[str, list[int]] = {}
+    for m in _PEM_END.finditer(text):
+        ends.setdefault(m[1], []).append(m.start())
+    at = 0
+    while ends and (m := _PEM_BEGIN.search(text, at)):
+        own = ends.get(m[1], [])
+        k = bisect_left(own, m.end())
+        if k < len(own):
+            at = own[k] + len(m[1]) + 14
+            yield m.start(), at, text[m.end() : own[k]]
+        else:
+            # The next begin mark may start in this one's last dashes.
+            at = m.end() - 5
+
+
 def _is_key(data: bytes | None) -> bool:
     if not data:
         return False
     if data.startswith(b"-----BEGIN"):
-        m = _PEM.search(data.decode("latin-1"))
-        return bool(m) and _pem_holds_key(m)
+        block = next(pem_blocks(data.decode("latin-1")), None)
+        return block is not None and _pem_holds_key(block[2])
     return is_openssh_key(data) or is_der_private_key(data)
 
 
-def _pem_holds_key(m: re.Match) -> bool:
-    body = m[2]
+def _pem_holds_key(body: str) -> bool:
     if "\n\n" in body.replace("\r", "") and "Proc-Type" in body:  # old encrypted form: headers, a blank line, then cipher text
         data = _decode64(body.replace("\r", "").split("\n\n", 1)[1])
         return bool(data) and len(data) % 8 == 0
@@ -172,17 +192,35 @@ def _der_size(data: bytes) -> int:
     return 2 + n + (int.from_bytes(data[2 : 2 + n], "big") if n else data[1])
 
 
+def _begins_like_a_key(run: str) -> bool:
+    """Whether base64 that is 96 long begins with the mark of a private key, with the name of an OpenSSH cipher, or with an integer or a sequence."""
+    data = _decode64(run) or b""
+    if data.startswith(b"-----"):
+        return bool(_PEM_BEGIN.match(data.decode("latin-1")))
+    if data.startswith(_OPENSSH):
+        at = len(_OPENSSH)
+        return 1 <= int.from_bytes(data[at : at + 4], "big") <= 64
+    inner = 2 + (data[1] & 0x7F if len(data) > 1 and data[1] > 0x80 else 0)
+    return data[:1] == b"\x30" and data[inner : inner + 1] in (b"\x02", b"\x30")
+
+
 def _wrapped_end(text: str, m: re.Match) -> int | None:
     """The end of the key that starts with the base64 line m and goes on over further lines; None where there is none."""
     parts, at, n = [m[0]], m.end(), len(m[0])
-    size = 0
+    size, most = 0, -(-MAX_KEY * 4 // 3)
     if m[0][0] == "M":
         # The header says how long the key is, so no line after it is read.
-        if not (size := _der_size(_decode64(m[0][:8]) or b"")):
+        if not 0 < (size := _der_size(_decode64(m[0][:8]) or b"")) <= MAX_KEY:
             return None
-    while not parts[-1].endswith("=") and (not size or n < -(-size * 4 // 3)) and (more := _WRAPPED.match(text, at)):
+    checked = False
+    while not parts[-1].endswith("=") and n < (-(-size * 4 // 3) if size else most) and (more := _WRAPPED.match(text, at)):
         parts.append(more[1])
         at, n = more.end(), n + len(more[1])
+        if not checked and n >= 96:
+            # The beginning tells most of what is no key, before the lines after it are read.
+            if not _begins_like_a_key("".join(parts)[:96]):
+                return None
+            checked = True
     if len(parts) == 1:
         return None
     if size:
@@ -192,8 +230,8 @@ def _wrapped_end(text: str, m: re.Match) -> int | None:
     data = _decode64(run[: len(run) - (len(run) % 4 == 1)]) or b""
     if data.startswith(_OPENSSH):
         size = _openssh_size(data) or 0
-    elif block := _PEM.search(data.decode("latin-1")):
-        size = block.end() if _pem_holds_key(block) else 0
+    elif block := next(pem_blocks(data.decode("latin-1")), None):
+        size = block[1] if _pem_holds_key(block[2]) else 0
     if not size:
         return None
     at, n = m.end(), len(m[0])
@@ -222,7 +260,7 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
         spans += [("access", *m.span()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
     spans += [("hex", *m.span()) for m in _HEX.finditer(text)]
     if "-----BEGIN " in text:
-        spans += [("pem_key", *m.span()) for m in _PEM.finditer(text) if _pem_holds_key(m)]
+        spans += [("pem_key", a, b) for a, b, body in pem_blocks(text) if _pem_holds_key(body)]
     spans += [("base64_key", *span) for span in _base64_keys(text)]
     if "30" in text or "6f70656e" in text:
         spans += [("hex_key", *m.span()) for m in _HEX_DER.finditer(text) if len(m[0]) % 2 == 0 and _is_key(bytes.fromhex(m[0]))]
