@@ -28,6 +28,8 @@ IDF_BAND = (math.log(8), math.log(1000))
 SLOTS = 1 << 20
 #: Rates of the subsets are 1/16, 1/64, 1/256 and 1/1024, with sixteen subsets each.
 LEVELS, SUBSETS = 4, 16
+#: Bytes of text in a bucket of neighbours, about; rows from which on one id may be cut into several buckets.
+BUCKET_BYTES, HOT_ROWS = 32 << 20, 1_000
 #: Subsets of a rate that must not be empty for the rate to judge.
 ENOUGH = 8
 
@@ -120,28 +122,38 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     bitmap = lexicon(rows)
     # Neighbours by id without one global order: ids are cut into buckets at quantiles, and the first row of each bucket is also dealt to the bucket before it.
-    n = 2 * shuffle_partitions(spark)
+    # There are as many buckets as keep their texts near BUCKET_BYTES; an id, or no id, with more rows than two buckets should have is cut by the hash that orders its rows.
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    n = max(2 * shuffle_partitions(spark), size.bytes // BUCKET_BYTES + 1)
     cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0] or []
-    cuts = sorted(set(cuts))
-    # All rows of one id share a bucket.
+    many = max(HOT_ROWS, 2 * size.n // n)
+    # At most n / 2 ids have that many rows. Each gets a place of its own.
+    hot = {r.doc_id: -(-r.n // many) for r in rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter(F.col("n") > many).collect()}
+    cuts = sorted({*cuts, *(c for i in hot if i is not None for c in (i - 1, i) if c >= -(1 << 63))})
+    parts = [hot.get(None, 1), *(hot.get(c, 1) for c in cuts), 1]  # of each place: no id, up to each cut, beyond
+    first = [sum(parts[:i]) for i in range(len(parts))]
+
+    def pick(values: list[int | None], at: Column) -> Column:
+        """The value of this number; no value is null."""
+        return F.get(F.split(F.lit(",".join("x" if v is None else str(v) for v in values)), ","), at).try_cast("bigint")
+
     bounds = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>") if cuts else F.array().cast("array<bigint>")
-    bucket = F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(bounds, lambda b: b < F.col("doc_id"))))
-    heads = rows.groupBy(bucket.alias("bucket")).agg(F.max("doc_id").alias("head")).orderBy(F.desc("bucket")).collect()  # a row for each bucket
-    to = {h.bucket: heads[i - 1].bucket for i, h in enumerate(heads)}
-    head = {h.bucket: h.head for h in heads}
-    span = range(-1, len(cuts) + 1)
-
-    def pick(values: list[int | None]) -> Column:
-        """The value for the row's bucket; no value is null."""
-        numbers = F.split(F.lit(",".join("x" if v is None else str(v) for v in values)), ",")
-        return F.get(numbers, F.col("bucket") + 1).try_cast("bigint")
-
-    rows = rows.withColumn("bucket", bucket.cast("int"))
-    is_head = F.col("doc_id").eqNullSafe(pick([head.get(b) for b in span]))
+    place = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(bounds, lambda b: b < F.col("doc_id"))) + 1)
+    # The hash as a share of its range: greater hashes are in later parts.
+    share = (F.col("h").cast("double") + float(1 << 63)) / float(1 << 64)
+    k = pick(parts, place)
+    rows = rows.withColumn("bucket", (pick(first, place) + F.least(F.floor(share * k), k - 1)).cast("int"))
+    # A row for each bucket; rows that agree in id and hash are equal.
+    heads = rows.groupBy("bucket").agg(F.max(F.struct("doc_id", "h")).alias("head")).orderBy(F.desc("bucket")).collect()
+    to = {r.bucket: heads[i - 1].bucket for i, r in enumerate(heads)}
+    head = {r.bucket: r.head for r in heads}
+    span = range(sum(parts))
+    of = lambda name: pick([head[b][name] if b in head else None for b in span], F.col("bucket"))
+    is_head = F.col("doc_id").eqNullSafe(of("doc_id")) & (F.col("h") == of("h"))
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("extra"))
-    also = F.struct(pick([to.get(b, b) for b in span]).cast("int").alias("bucket"), F.lit(True).alias("extra"))
-    dealt = rows.withColumn("place", F.explode(F.when(is_head, F.array(own, also)).otherwise(F.array(own)))).select("place.*", "doc_id", "text")
-    dealt = dealt.withColumn("h", F.xxhash64("text"))
+    also = F.struct(pick([to.get(b, b) for b in span], F.col("bucket")).cast("int").alias("bucket"), F.lit(True).alias("extra"))
+    dealt = rows.withColumn("place", F.explode(F.when(is_head, F.array(own, also)).otherwise(F.array(own)))).select("place.*", "doc_id", "text", "h")
     order = Window.partitionBy("bucket").orderBy("extra", F.col("doc_id").desc_nulls_last(), F.desc("h"))
     dealt = dealt.withColumn("next", F.lead("text").over(order))
     n_chars = F.length("text")
