@@ -22,13 +22,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import drop_table, materialise
 
 LABELS = ("quality",)
 #: Shares of all tokens that the domains are to have.
 TARGETS = {"quality0": 0.1, "quality1": 0.9}
-#: Rows that a domain has at least; rarer combinations of labels make no domain.
-MIN_DOMAIN_ROWS = 20
 #: Steps at most; the fit ends when every domain is within TOLERANCE of all tokens from its target.
 STEPS, TOLERANCE = 40, 1e-5
 # Marks whose share of the characters is a feature.
@@ -62,7 +60,7 @@ def _domains(features: DataFrame, labels: DataFrame, names: Sequence[str]) -> tu
     domain = F.concat_ws("_", *(F.concat(F.lit(c), F.col(c).cast("string")) for c in names))
     taught = features.join(known.select("doc_id", domain.alias("domain")), "doc_id")
     moments = [f(f"x{i}").alias(f"{a}{i}") for i in range(N_FEATURES) for a, f in (("m", F.avg), ("v", F.var_pop))]
-    rows = sorted((r for r in taught.groupBy("domain").agg(F.count("*").alias("n"), *moments).collect() if r.n >= MIN_DOMAIN_ROWS), key=lambda r: r.domain)
+    rows = sorted(taught.groupBy("domain").agg(F.count("*").alias("n"), *moments).collect(), key=lambda r: r.domain)
     if not rows:
         return ["all"], [0.0], [], []
     total = sum(r.n for r in rows)
@@ -163,18 +161,19 @@ def _fitted(docs: DataFrame, labels: DataFrame, names: Sequence[str], targets: d
     model = DomainModel(features, labels, names)
     table = model(features)
     steps, *_ = fit_rates(table, [targets.get(d, 0.0) for d in model.domains] if len(model.domains) > 1 else [1.0], least)
-    return table, model, _rate(steps, len(model.domains), least)
+    return features, table, model, _rate(steps, len(model.domains), least)
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, names: Sequence[str] = LABELS, targets: dict[str, float] = TARGETS, least: float = 0.0) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_tokens, p_<domain>.., rate, copies. targets: shares of all tokens by domain name."""
-    table, model, rate = _fitted(docs, labels, names, targets, least)
+    _, table, model, rate = _fitted(docs, labels, names, targets, least)
     return table.select("doc_id", F.col("tokens").alias("n_tokens"), *(F.col(f"p{i}").alias(f"p_{d}") for i, d in enumerate(model.domains)), rate.alias("rate"), _copies(rate).alias("copies"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, names: Sequence[str] = LABELS, targets: dict[str, float] = TARGETS, least: float = 1.0) -> DataFrame:
     """docs with each row repeated as often as its rate asks; with least >= 1 no row is lost. All columns stay."""
-    _, model, rate = _fitted(docs, labels, names, targets, least)
-    # The rates are computed again beside the text, so that no text moves.
-    beside = document_features(docs.select("*", F.struct(*docs.columns).alias("_row")), "_row")
-    return model(beside).select("_row", F.explode(F.array_repeat(F.lit(0), _copies(rate))).alias("_copy")).select("_row.*")
+    features, _, model, rate = _fitted(docs, labels, names, targets, least)
+    drop_table(features)
+    # The rates are computed again beside the text, so that no text moves; docs' own columns travel in one whose name none of the others has.
+    beside = document_features(docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")), "whole")
+    return model(beside).select("whole", F.explode(F.array_repeat(F.lit(0), _copies(rate))).alias("copy")).select("whole.*")
