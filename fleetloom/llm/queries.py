@@ -89,6 +89,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op5_embed_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        ), u AS (
+            SELECT r, vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+            WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.r AS a, b.r AS b, b.vec_id AS other FROM u a JOIN u b ON a.r <> b.r AND len(a.e) = len(b.e) AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 95e-2
+        ), reach AS (
+            SELECT r, r AS t FROM v UNION SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.t
+        ), first AS (
+            SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.t GROUP BY reach.r
+        ), n AS (
+            SELECT a AS r, count(*) AS n_links FROM links GROUP BY a
+        )
+        SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+        FROM v JOIN first ON first.r = v.r LEFT JOIN n ON n.r = v.r""",
     "op6_warc": """
         WITH p AS (
             SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
@@ -101,4 +118,22 @@ SQL: dict[str, str] = {
                CASE WHEN first_id < d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN first_id < d.page_id THEN first_id END AS refers_to
         FROM d LEFT JOIN f ON d.payload_digest = f.payload_digest""",
+    "op7_jaccard_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), s AS (
+            SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                   ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS k FROM d
+        ), e AS (
+            SELECT r, unnest(k) AS x FROM s
+        ), common AS (
+            SELECT a.r AS a, b.r AS b, count(*) AS n FROM e a JOIN e b ON a.x = b.x AND a.r <> b.r GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM common JOIN s p ON p.r = a JOIN s q ON q.r = b WHERE 100 * n >= 75 * (len(p.k) + len(q.k) - n)
+        ), reach AS (
+            SELECT r, r AS t FROM s UNION SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.t
+        )
+        SELECT s.doc_id, CAST(any_value(len(s.k)) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+        FROM s JOIN reach ON reach.r = s.r JOIN s o ON o.r = reach.t GROUP BY s.r, s.doc_id""",
 }

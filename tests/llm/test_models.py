@@ -51,6 +51,44 @@ def test_held_out_accuracy_and_folds(spark):
     assert len(held) > 200 and np.mean([r.predicted == truth[r.doc_id] for r in held]) >= 0.98
 
 
+def test_the_fit_against_plain_loops():
+    rng = random.Random(8)
+    rows = [(int(rng.random() < 0.4), sorted(rng.sample(range(6), rng.randint(0, 4)))) for _ in range(40)]
+    pairs = [([0], [1], 3), ([2, 3], [4], 1), ([5], [], 2)]
+    l2, swap, steps = 1e-3, 0.7, 60
+    w, b = toxicity._fit(rows, 6, pairs, l2, swap, steps)
+
+    def gradient(x):
+        """Of mean log loss + l2 |w|² + swap · weighted mean of squared score changes, term by term."""
+        g = [2 * l2 * v for v in x[:6]] + [0.0]
+        for toxic, own in rows:
+            err = (1 / (1 + math.exp(-(x[6] + sum(x[i] for i in own)))) - toxic) / len(rows)
+            for i in [*own, 6]:
+                g[i] += err
+        for gone, come, n in pairs:
+            change = (sum(x[i] for i in gone) - sum(x[i] for i in come)) * n / 6
+            for i in gone:
+                g[i] += 2 * swap * change
+            for i in come:
+                g[i] -= 2 * swap * change
+        return g
+
+    share = sum(t for t, _ in rows) / len(rows)
+    x, m, v = [0.0] * 6 + [math.log(share / (1 - share))], [0.0] * 7, [0.0] * 7
+    for t in range(1, steps + 1):
+        for i, g in enumerate(gradient(x)):
+            m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.999 * v[i] + 0.001 * g * g
+        x = [x[i] - 0.1 * (m[i] / (1 - 0.9**t)) / (math.sqrt(v[i] / (1 - 0.999**t)) + 1e-8) for i in range(7)]
+    assert [*w, b] == pytest.approx(x)
+
+
+def test_rare_domains_stay_domains(spark):
+    docs = spark.createDataFrame([(i, "good words, well said. " * (5 + i % 7) if i % 10 else "bad|bad!#") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 > 0)) for i in range(60)], "doc_id long, quality int")
+    got = mixing.mixing_rates(docs, labels)
+    assert {"p_quality0", "p_quality1"} <= set(got.columns) and got.filter("p_quality0 > 0.5").count() == 6
+
+
 def test_swaps_take_the_weight_off_a_groups_name(spark):
     d, l = frames(spark, *toxic_corpus())
     plain, fair = (toxicity.fit_toxicity(d, l, swap=s).scorer() for s in (0.0, 30.0))

@@ -80,6 +80,25 @@ def test_jaccard_join_of_empty_and_null_rows(spark):
     assert kept == [0, 1, 2, 3, 4]
 
 
+def test_one_of_each_group_stays_beside_clashing_columns(spark):
+    text = "a b c d e f g h i j"
+    rows = [(3, text, 1, 2, 3, 4, 5), (1, text, 6, 7, 8, 9, 10), (1, text, 6, 7, 8, 9, 11), (None, text, 0, 0, 0, 0, 0), (7, "other words stand here today", 1, 1, 1, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _rows int, _stays int, rows int, stays int, id int")
+    out = jaccard_join.drop_near_copies(docs)
+    assert out.columns == docs.columns and sorted((r.doc_id or 0) for r in out.collect()) == [0, 1, 7]
+
+
+def test_hot_keys_change_no_result(spark, monkeypatch):
+    texts = corpus(3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs).collect()}
+    for least in (1, 4):  # all keys hot, many keys hot
+        monkeypatch.setattr(jaccard_join, "HOT_LEAST", least)
+        monkeypatch.setattr(jaccard_join, "HOT", 0.0)
+        monkeypatch.setattr(jaccard_join, "HOT_HERE", 0.0)
+        assert {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs).collect()} == want
+
+
 def test_near_copies_without_an_id_link_as_leaders_and_as_members(spark):
     sig = lambda t: jaccard_join._signature(jaccard_join.Shingler().sets([t])[0])
     rows, want, leads = [], {}, set()
@@ -162,6 +181,35 @@ def test_embedding_links_against_brute_force(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+def test_one_cell_is_exact(spark):
+    x = vectors(8, 700)
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    linked = u @ u.T >= 0.95
+    np.fill_diagonal(linked, False)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    for how in ({"cells": 1}, {"cells": 9, "probes": 9}):
+        got = {r.vec_id: r.n_links for r in embed_dedup.embedding_components(df, **how).collect()}
+        assert [got[i] for i in range(len(x))] == linked.sum(1).tolist()
+
+
+def test_recall_beyond_the_sample():
+    """Cells fitted on a sample that is smaller than the table, homes and probes as the operator deals them."""
+    x = vectors(11, 30_000, 32)
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    k = embed_dedup.n_cells(len(u))
+    assert len(u) > embed_dedup.MAX_SAMPLE and k > 80
+    centroids = embed_dedup.spherical_kmeans(u[np.random.default_rng(1).choice(len(u), embed_dedup.MAX_SAMPLE, replace=False)], k)
+    top = np.argsort(-(u @ centroids.T), axis=1)[:, : embed_dedup.n_probes(k)]
+    met = links = 0
+    for a in range(0, len(u), 2_000):
+        i, j = np.nonzero(u[a : a + 2_000] @ u.T >= 0.95)
+        i += a
+        i, j = i[i < j], j[i < j]
+        links += len(i)
+        met += ((top[i] == top[j][:, :1]).any(1) | (top[j] == top[i][:, :1]).any(1)).sum()
+    assert links > 5_000 and met >= 0.9 * links
+
+
 def test_embeddings_that_link_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]), (9, [1.0, 0.0, 0.0]), (10, [1.0, 0.0]), (10, [1.0, 0.0])]
