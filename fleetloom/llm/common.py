@@ -39,7 +39,8 @@ def ship(spark: SparkSession) -> None:
     # Texts may be long: an Arrow batch is bounded by its bytes, so that a Python worker's memory is. It changes no result.
     for name, most in (("maxRecordsPerBatch", MAX_RECORDS), ("maxBytesPerBatch", MAX_BYTES)):
         name = f"spark.sql.execution.arrow.{name}"
-        if not 0 < int(spark.conf.get(name).rstrip("b")) <= most:
+        now = spark.conf.get(name).rstrip("b")
+        if not (now.isdigit() and 0 < int(now) <= most):
             spark.conf.set(name, str(most))
     _SHIPPED.add(app)
 

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, ship, shuffle_partitions, worker_memory
+from .common import file_system, fresh_path, ship, shuffle_partitions, worker_memory
 from .wordclass import LETTERS, NUMBERS, SPACE, UNUSUAL, byte_symbols
 
 END_ID = 2
@@ -141,7 +141,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str | None
         if (first := next(batches, None)) is None:
             return
         part = TaskContext.get().partitionId()
-        fs, folder = pafs.FileSystem.from_uri(out_dir)
+        fs, folder = file_system(out_dir)
         fs.create_dir(folder, recursive=True)
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         ids, sizes = [], [np.zeros(1, "<i8")]
@@ -172,7 +172,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str | None
     for p in parts:
         p |= {"base": base, "first_doc": first_doc}
         base, first_doc = base + p["tokens"], first_doc + p["docs"]
-    fs, folder = pafs.FileSystem.from_uri(out_dir)
+    fs, folder = file_system(out_dir)
     fs.create_dir(folder, recursive=True)
     with fs.open_output_stream(f"{folder}/manifest.json") as out:
         out.write(json.dumps({"end_id": end_id, "tokens": base, "docs": first_doc, "parts": parts}).encode())
@@ -180,7 +180,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str | None
 
 
 def read_manifest(out_dir: str) -> dict:
-    fs, folder = pafs.FileSystem.from_uri(out_dir)
+    fs, folder = file_system(out_dir)
     with fs.open_input_stream(f"{folder}/manifest.json") as f:
         return json.loads(f.read())
 
@@ -195,7 +195,7 @@ def _mapped(fs: pafs.FileSystem, path: str) -> pa.Buffer:
 
 def open_part(out_dir: str, part: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, offsets, doc_ids) of one part, without copying the ids of a local file."""
-    fs, folder = pafs.FileSystem.from_uri(out_dir)
+    fs, folder = file_system(out_dir)
     index = np.frombuffer(_mapped(fs, f"{folder}/{part['name']}.idx"), "<i8")
     n = int(index[0])
     tokens = np.frombuffer(_mapped(fs, f"{folder}/{part['name']}.bin"), f"<u{part['width']}") if part["tokens"] else np.zeros(0, f"<u{part['width']}")

@@ -20,12 +20,11 @@ from urllib.parse import quote
 
 import pandas as pd
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, materialise, ship, shuffle_partitions
+from .common import file_system, fresh_path, materialise, ship, shuffle_partitions
 
 #: Smaller payloads are always stored: a revisit record would save nothing.
 MIN_REVISIT = 100
@@ -97,7 +96,7 @@ def write_warc(pages: DataFrame, out_dir: str | None = None, date: str = "1970-0
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, offset, file = None, 0, ""
-        fs, folder = pafs.FileSystem.from_uri(out_dir)
+        fs, folder = file_system(out_dir)
         try:
             for b in batches:
                 if not b.num_rows:
@@ -133,7 +132,7 @@ def read_warc(index: DataFrame, out_dir: str, with_payload: bool = False) -> Dat
     names = [x.split()[0] for x in schema.split(", ")]
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs, folder = pafs.FileSystem.from_uri(out_dir)
+        fs, folder = file_system(out_dir)
         for frame in frames:
             for file, own in frame.groupby("file", sort=True):
                 own = own.sort_values("offset")
