@@ -438,7 +438,8 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = rows.select("*", F.count("*").over(own).alias("s"), F.row_number().over(own.orderBy("df", "key")).alias("r"))
     rows = rows.filter("s >= need AND r <= s - need + 1").select("key", "hot", "sig", "n", (F.col("s") - F.col("need") + 1).alias("held"))
     rows = materialise_bucketed(rows, "join-keys", "sig")
-    all_rows = materialise(shown_rows.select("doc_id", "n", "sig", "text_key"), "classes")
+    # Three short columns beside the shown elements: an eighth of the files will do.
+    all_rows = materialise(shown_rows.select("doc_id", "n", "sig", "text_key").coalesce(max(1, shuffle_partitions(spark) // 8)), "classes")
     drop_table(shown_rows)
     drop_table(hot)
     # One document stands for each class, by its text where no row of the class has an id; a class may have several rows with its smallest id.
@@ -459,11 +460,12 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # busiest leader that it has itself: so sets of one family meet under few leaders.
     busy = _over_keys(named, lo=F.min("component"), hi=F.max("component"), lead=F.max(F.struct("held", "sig"))).filter("lo <> hi")
     led = materialise(busy.select(F.col("lead.held").alias("held"), F.col("lead.sig").alias("leader"), "sig", "component").distinct(), "led")
-    tops = led.groupBy(F.col("sig").alias("leader")).agg(F.max(F.struct("held", "leader")).alias("top"))
+    tops = materialise(led.groupBy(F.col("sig").alias("leader")).agg(F.max(F.struct("held", "leader")).alias("top")), "tops")
     moved = led.join(tops, "leader").select(F.col("top.leader").alias("leader"), "sig", "component")
     heads = led.filter("leader = sig").select("leader", "sig", "component").join(moved.select("leader").distinct(), "leader", "left_semi")
     groups = materialise(moved.union(heads).distinct(), "groups")
     drop_table(led)
+    drop_table(tops)
     if not groups.isEmpty():
         # A class and its component are a link that says as much as all that were found before.
         before, components = components, connected_components(components.toDF("a", "b").union(_linked_under_leaders(groups, sets)))
