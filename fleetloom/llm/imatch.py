@@ -16,6 +16,7 @@ an empty table gives none; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,7 +30,7 @@ SLOTS = 1 << 20
 #: Rates of the subsets are 1/16, 1/64, 1/256 and 1/1024, with sixteen subsets each.
 LEVELS, SUBSETS = 4, 16
 #: Bytes of text in a bucket of neighbours, about; rows from which on one id may be cut into several buckets.
-BUCKET_BYTES, HOT_ROWS = 32 << 20, 1_000
+BUCKET_BYTES, HOT_ROWS = 4 << 20, 1_000
 #: Subsets of a rate that must not be empty for the rate to judge.
 ENOUGH = 8
 
@@ -125,7 +126,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     # There are as many buckets as keep their texts near BUCKET_BYTES; an id, or no id, with more rows than two buckets should have is cut by the hash that orders its rows.
     rows = rows.withColumn("h", F.xxhash64("text"))
     size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
-    n = max(2 * shuffle_partitions(spark), size.bytes // BUCKET_BYTES + 1)
+    n = max(8 * shuffle_partitions(spark), size.bytes // BUCKET_BYTES + 1)
     cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0] or []
     many = max(HOT_ROWS, 2 * size.n // n)
     # At most n / 2 ids have that many rows. Each gets a place of its own.
@@ -138,8 +139,13 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         """The value of this number; no value is null."""
         return F.get(F.split(F.lit(",".join("x" if v is None else str(v) for v in values)), ","), at).try_cast("bigint")
 
-    bounds = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>") if cuts else F.array().cast("array<bigint>")
-    place = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(bounds, lambda b: b < F.col("doc_id"))) + 1)
+    # Found in two steps of about the square root of the cuts: which run of them, then where in it.
+    m = math.isqrt(len(cuts)) + 1
+    runs = [cuts[i : i + m] for i in range(0, len(cuts), m)]
+    below = lambda a: F.size(F.filter(a, lambda b: b < F.col("doc_id")))
+    longs = lambda x, kind: F.from_json(F.lit(json.dumps(x)), kind)
+    run = below(longs([r[-1] for r in runs], "array<bigint>"))
+    place = F.when(F.col("doc_id").isNull(), 0).otherwise(F.least(run * m + F.coalesce(below(F.get(longs(runs, "array<array<bigint>>"), run)), F.lit(0)), F.lit(len(cuts))) + 1)
     # The hash as a share of its range: greater hashes are in later parts.
     share = (F.col("h").cast("double") + float(1 << 63)) / float(1 << 64)
     k = pick(parts, place)
