@@ -1,7 +1,7 @@
 """Near-duplicate embeddings: spherical k-means cells, blocked cosine products within cells, one representative for each group.
 
 Centroids are fitted on a bounded hashed sample (MAX_SAMPLE vectors); every vector is then indexed in the cell of its nearest centroid
-and asked for in its PROBES nearest cells. Vectors with equal components form one class first. Large cells are cut into blocks of members
+and asked for in its nearest cells (probes). Vectors with equal components form one class first. Large cells are cut into blocks of members
 and of queries, so no task holds a whole cell; a block's product is one matrix multiplication in double precision. A block returns how many vectors
 each of its vectors is linked to, not the pairs, and a forest of links with as many edges as vertices at most.
 
@@ -32,6 +32,8 @@ THRESHOLD = 0.95
 MAX_SAMPLE, ROUNDS, ROWS_A_CELL = 20_000, 10, 8
 #: Cells that a vector is asked for in at least.
 LEAST_PROBES = 4
+#: Cells whose sizes may be broadcast.
+MAX_BROADCAST = 100_000
 #: Members and queries of a block.
 MEMBERS, QUERIES = 1_024, 2_048
 
@@ -170,12 +172,14 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, cells
     ids = rows.select("vec_id", "sig")
     classes = rows.filter("sig IS NOT NULL").groupBy("sig").agg(F.first("vector").alias("vector"), F.count("*").alias("n"))
     classes = materialise(classes, "vector-classes")
-    placed = materialise(_assign(classes, fit_cells(classes, cells=cells), probes), "placed")
+    fitted = fit_cells(classes, cells=cells)
+    placed = materialise(_assign(classes, fitted, probes), "placed")
     asked = placed.select("sig", "vector", "n", "home", "probes", F.explode("probes").alias("cell"))
-    # One row for each cell that has vectors; whether it is small enough to be broadcast is Spark's to decide by its size.
+    # One row of three numbers for each cell that has vectors. Their number is known here, so a broadcast is asked for only where it is small.
     sizes = placed.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("n_mb"))
     queries = asked.groupBy("cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("n_qb"))
     blocks = sizes.join(queries, "cell")
+    blocks = F.broadcast(blocks) if sum(map(len, fitted.values())) <= MAX_BROADCAST else blocks
     mine, theirs = F.pmod(F.xxhash64("sig", F.lit(1)), F.col("n_mb")).cast("int"), F.pmod(F.xxhash64("sig", F.lit(2)), F.col("n_qb")).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     common = ("sig", "vector", "n", "home", "probes")
