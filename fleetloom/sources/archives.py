@@ -77,8 +77,12 @@ def entries(spark: SparkSession, paths: str | list[str], glob: str = "*") -> Dat
 
 
 def file_date(path: Column) -> Column:
-    """yyyymmdd digits of the date in a file name, with or without dashes; empty without one."""
-    return F.regexp_replace(F.regexp_extract(path, r"((?:19|20)\d{2}-?\d{2}-?\d{2})[^/]*$", 1), "-", "")
+    """yyyymmdd digits of the last date in a file name, with or without dashes; empty without one.
+
+    A date begins no number in its middle and has a month and a day, so serial numbers before it are not read as parts of one.
+    """
+    date = r"(?:19|20)\d{2}-?(?:0[1-9]|1[0-2])-?(?:0[1-9]|[12]\d|3[01])"
+    return F.regexp_replace(F.regexp_extract(path, rf"(?s)^.*(?<!\d)({date})[^/]*$", 1), "-", "")
 
 
 def ordered(listing: DataFrame, newest_first: bool = True) -> DataFrame:

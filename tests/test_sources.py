@@ -4,9 +4,11 @@ import io
 import tarfile
 import zipfile
 
+import duckdb
 from pyspark.sql import functions as F
 
 from fleetloom.operators import merge, release
+from fleetloom.plans.registry import ORACLES, QUERIES
 from fleetloom.plans.table_queries import repeated_reports
 from fleetloom.sources import archives, catalog, csv_rows, feed_xml, replay
 from fleetloom.streaming import vehicle_merge
@@ -109,6 +111,24 @@ def test_archive_entries(spark, tmp_path):
     assert [r.k for r in kinds.collect()] == ["xml", "html", "unknown"]
 
 
+def test_serial_numbers_before_a_date_are_no_dates(spark):
+    names = {
+        "raw/001901-2014-05-01.csv": "20140501", "raw/002014-2014-05-01.csv": "20140501", "raw/190105-2014-05-01.csv": "20140501", "raw/20150301-2014-05-02.csv": "20140502",
+        "raw/2014-11-05/20141106123000.csv": "20141106", "raw/2014-11-05/1415232000000.xml": "", "raw/x_20141106.tgz": "20141106", "raw/20141399.csv": "",
+    }
+    found = spark.createDataFrame([(n,) for n in names], "path string").select("path", archives.file_date(c("path")).alias("date")).collect()
+    assert {r.path: r.date for r in found} == names
+
+
+def test_file_order_of_ids_that_read_as_years(spark, tmp_path):
+    ids = [*range(1895, 2105), *range(190_100, 190_110), *range(201_201, 201_210), 1_000_000, 100_000, 20_140_501]
+    spark.createDataFrame([(i,) for i in ids], "doc_id long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in QUERIES["s08_file_order"](spark, str(tmp_path)).orderBy("place").select("doc_id", "place").collect()]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == con.execute(f"SELECT doc_id, place FROM ({ORACLES['s08_file_order']}) ORDER BY place").fetchall()
+
+
 def test_replayed_responses(spark, tmp_path):
     for i in range(7):
         (tmp_path / f"in/day{i % 2}").mkdir(parents=True, exist_ok=True)
