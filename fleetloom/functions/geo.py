@@ -126,11 +126,21 @@ def bisected_area(south: Column, north: Column, west: Column, east: Column, dept
     return part(south, north, distance(south, west, north, west), wide(south), wide(north), depth)
 
 
+def _tenths(x: Column) -> Column:
+    """Whole tenths nearest to x >= 0, by its binary value and to even ones, as C and Go print %.1f (Java rounds the decimal text, half up)."""
+    tenfold = x * 10
+    lost = x * 2 - (tenfold - x * 8)  # exactly what the rounded product lacks
+    whole = F.floor(tenfold)
+    over = tenfold - whole - 0.5
+    return whole + F.when((over > 0) | ((over == 0) & ((lost > 0) | ((lost == 0) & (whole % 2 == 1)))), 1).otherwise(0)
+
+
 def dms(x: Column, negative: str, positive: str) -> Column:
     """Degrees, minutes and seconds as d.mm.ss.s with a letter for the side."""
     v = F.abs(x)
     minutes = (v - F.floor(v)) * 60
-    return F.format_string("%d.%02d.%04.1f%s", F.floor(v), F.floor(minutes), (minutes - F.floor(minutes)) * 60, F.when(x < 0, negative).otherwise(positive))
+    tenths = _tenths((minutes - F.floor(minutes)) * 60)
+    return F.format_string("%d.%02d.%02d.%d%s", F.floor(v), F.floor(minutes), F.floor(tenths / 10), tenths % 10, F.when(x < 0, negative).otherwise(positive))
 
 
 def to_direction(toward: Column) -> Column:

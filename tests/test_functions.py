@@ -1,6 +1,7 @@
 """Golden values and properties of the column functions."""
 
 import math
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -124,3 +125,20 @@ def test_times_as_people_write_them(spark):
     }
     got = one(spark, *(when.human(now, F.lit(t).cast("timestamp_ntz")) for t in want))
     assert list(got) == list(want.values())
+
+
+def test_seconds_of_degrees_are_rounded_as_c_prints_them(spark):
+    rng = random.Random(5)
+    # Exact halves, tenths' halves that binary misses on either side, the carry to 60.0, and any others.
+    seconds = [*(k / 4 for k in range(240)), *(k / 20 for k in range(1200)), *(rng.random() * 60 for _ in range(2000)), 59.95, math.nextafter(59.95, 60), 1e-300]
+    tenths = spark.createDataFrame([(s,) for s in seconds], "s double").select("s", geo._tenths(c("s")).alias("k")).collect()
+    assert [(r.s, r.k) for r in tenths] == [(r.s, round(float(f"{r.s:.1f}") * 10)) for r in tenths]
+    degrees = [0.0, -70.953125, 71.01562500000001, 70.99999999, 0.5, -179.999999]
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(degrees)], "i int, v double").select("i", geo.dms(c("v"), "W", "E").alias("d")).orderBy("i").collect()
+
+    def printed(v):
+        minutes = (abs(v) - math.floor(abs(v))) * 60
+        return f"{math.floor(abs(v))}.{math.floor(minutes):02d}.{(minutes - math.floor(minutes)) * 60:04.1f}{'W' if v < 0 else 'E'}"
+
+    assert [r.d for r in got] == [printed(v) for v in degrees]
+    assert got[1].d == "70.57.11.2W"
