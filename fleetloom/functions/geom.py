@@ -97,8 +97,9 @@ def closest(p: Point, q: Point, c: Point) -> tuple[Column, Column, Column, Colum
     """(x, y, distance, perpendicular) of the point of the segment that is closest to c."""
     t = foot(p, q, c)
     at = lambda k: F.when(t < 0, p[k]).when(t > 1, q[k]).otherwise(p[k] + t * (q[k] - p[k]))
-    x, y = at(0), at(1)
-    return x, y, F.hypot(c[0] - x, c[1] - y), t.between(0, 1)
+    # Measured from the segment's start, not from the foot's rounded place, so that near ties come out by their true order.
+    off = lambda k: F.when(t < 0, c[k] - p[k]).when(t > 1, c[k] - q[k]).otherwise(c[k] - p[k] - t * (q[k] - p[k]))
+    return at(0), at(1), F.sqrt(F.pow(off(0), F.lit(2.0)) + F.pow(off(1), F.lit(2.0))), t.between(0, 1)
 
 
 def intersection(p1: Point, q1: Point, p2: Point, q2: Point) -> Point:

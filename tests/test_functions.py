@@ -2,6 +2,7 @@
 
 import math
 import random
+from fractions import Fraction
 
 import pytest
 from hypothesis import given, settings
@@ -142,3 +143,24 @@ def test_seconds_of_degrees_are_rounded_as_c_prints_them(spark):
 
     assert [r.d for r in got] == [printed(v) for v in degrees]
     assert got[1].d == "70.57.11.2W"
+
+
+def test_closest_orders_near_ties_by_exact_distance(spark):
+    # Reports beside the corners of zigzags, as far from one road as from the next but for the rounding of their places.
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):
+        x, y, h = -71.2 + rng.randrange(40) * 8e-3, 42.1 + rng.randrange(40) * 3e-3, 6e-3 * rng.choice((-1, 1))
+        rows.append((i, x, y, x + 8e-3, y + h, x + 16e-3, y, x + 8e-3, y + h - math.copysign(rng.randrange(1, 1000) / 1e6, h)))
+    df = spark.createDataFrame(rows, "i int, ax double, ay double, bx double, by double, zx double, zy double, x double, y double")
+    a, b, z, at = ((c(f"{k}x"), c(f"{k}y")) for k in ("a", "b", "z", ""))
+    got = {r.i: (r.one, r.two) for r in df.select("i", geom.closest(a, b, at)[2].alias("one"), geom.closest(b, z, at)[2].alias("two")).collect()}
+
+    def exact(px, py, qx, qy, x, y):
+        px, py, qx, qy, x, y = map(Fraction, (px, py, qx, qy, x, y))
+        t = min(max(((x - px) * (qx - px) + (y - py) * (qy - py)) / ((qx - px) ** 2 + (qy - py) ** 2), 0), 1)
+        return (x - px - t * (qx - px)) ** 2 + (y - py - t * (qy - py)) ** 2
+
+    for i, ax, ay, bx, by, zx, zy, x, y in rows:
+        for d, e in zip(got[i], (exact(ax, ay, bx, by, x, y), exact(bx, by, zx, zy, x, y)), strict=True):
+            assert abs(Fraction(d) ** 2 - e) < 2 * Fraction(d) / 10**16, (i, d)  # coordinates have steps of 7e-15 and 1.4e-14
