@@ -48,3 +48,13 @@ def test_entry_needs_no_session_to_list_queries():
 
     names = entry.queries()
     assert set(QUERIES) <= set(names) and set(entry.oracle_sql()) <= set(names)
+
+
+@pytest.mark.parametrize("name", ["j03_nearest_segment", "j09_nearest_perpendicular"])
+def test_nearest_of_two_segments_almost_as_far(spark, tmp_path, name):
+    spark.read.parquet("/root/testdata/sf0.1/events.parquet").filter("event_id IN (18872, 46131)").write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    columns = "event_id, path_index, seg_index"
+    got = sorted(tuple(r) for r in QUERIES[name](spark, str(tmp_path)).select(*columns.split(", ")).collect())
+    assert got == con.execute(f"SELECT {columns} FROM ({ORACLES[name]}) ORDER BY ALL").fetchall()
