@@ -3,6 +3,8 @@
 import duckdb
 import pytest
 
+from fleetloom.plans.fixtures import over_views
+from fleetloom.plans.join_queries import _NEAR
 from fleetloom.plans.registry import ORACLES, QUERIES, flagship
 
 SF = "/root/testdata/sf0.001"
@@ -58,3 +60,17 @@ def test_nearest_of_two_segments_almost_as_far(spark, tmp_path, name):
     columns = "event_id, path_index, seg_index"
     got = sorted(tuple(r) for r in QUERIES[name](spark, str(tmp_path)).select(*columns.split(", ")).collect())
     assert got == con.execute(f"SELECT {columns} FROM ({ORACLES[name]}) ORDER BY ALL").fetchall()
+
+
+def test_nearest_perpendicular_at_every_place_with_near_ties(spark, tmp_path):
+    # A report's place repeats after 600,300 events (the least multiple of 9, 100 and 2,001) and 8 users, so these are all there are.
+    con = duckdb.connect()
+    con.execute("CREATE TABLE places AS SELECT e.range + 600300 * u.range AS event_id, TIMESTAMP '2024-01-01' AS ts, u.range AS user_id FROM range(600300) e, range(8) u")
+    con.execute("CREATE VIEW events AS FROM places")
+    close = "list_sort(list(distance))[2] - min(distance) < 1e-9 * min(distance) OR min(least(abs(t), abs(1 - t))) < 1e-9"
+    con.execute("CREATE TABLE ties AS FROM places WHERE event_id IN (" + over_views(f"SELECT event_id FROM near WHERE t > -1e-9 AND t < 1 + 1e-9 GROUP BY event_id HAVING {close}", _NEAR) + ")")
+    assert con.execute("SELECT count(*) FROM ties").fetchone()[0] > 300
+    con.execute(f"COPY ties TO '{tmp_path}/events.parquet'")
+    con.execute("CREATE OR REPLACE VIEW events AS FROM ties")
+    got = sorted(tuple(r) for r in QUERIES["j09_nearest_perpendicular"](spark, str(tmp_path)).select("event_id", "path_index", "seg_index").collect())
+    assert got == con.execute(f"SELECT event_id, path_index, seg_index FROM ({ORACLES['j09_nearest_perpendicular']}) ORDER BY ALL").fetchall()
